@@ -54,11 +54,10 @@ def evidence_scores(processed_abstracts: DataFrame, term: str = "ingredient_term
     """A1: hits per term / the largest hit count (null terms excluded; max 0 -> 1)."""
     counts = (processed_abstracts.filter(F.col(term).isNotNull())
               .groupBy(term).agg(F.count(F.lit(1)).alias("pubmed_hits")))
-    # one row per term: the global max over this small result is a cheap single-partition window
-    mx = counts.agg(F.max("pubmed_hits").alias("_mx"))
-    return (counts.crossJoin(F.broadcast(mx))
-            .select(term, "pubmed_hits",
-                    (F.col("pubmed_hits") / F.coalesce(F.nullif("_mx", F.lit(0)), F.lit(1))).alias("evidence_score")))
+    # the largest count enters as a scalar subquery over the (one row per term) result
+    mx = counts.select(F.max("pubmed_hits")).scalar()
+    return counts.select(term, "pubmed_hits",
+                         (F.col("pubmed_hits") / F.coalesce(F.nullif(mx, F.lit(0)), F.lit(1))).alias("evidence_score"))
 
 
 def match_check(labels: DataFrame, registry_clean: DataFrame, code: str = "product_code",

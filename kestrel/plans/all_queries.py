@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "kestrel.plans.q_scoring",
+    "kestrel.plans.q_eda",
 ]
 
 
