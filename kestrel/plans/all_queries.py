@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "kestrel.plans.q_scoring",
     "kestrel.plans.q_eda",
+    "kestrel.plans.q_load",
 ]
 
 
