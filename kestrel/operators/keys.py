@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def dense_key(df: DataFrame, order: Sequence[str] | str, name: str, partitions: int | None = None) -> DataFrame:
     """Dense 1..n key in ``order`` without a single-partition sort.
@@ -17,10 +19,16 @@ def dense_key(df: DataFrame, order: Sequence[str] | str, name: str, partitions:
     ...)`` when the order columns are unique, at any data size.
     """
     order_cols = [order] if isinstance(order, str) else list(order)
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or spark.sparkContext.defaultParallelism
+    # Range bounds come from sampling, so two evaluations of this frame could
+    # cut partitions differently; a reliable checkpoint (shared storage,
+    # survives executor loss) pins one partitioning for the sizes and the rows.
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -8,6 +8,7 @@ MODULES = [
     "kestrel.plans.q_scoring",
     "kestrel.plans.q_eda",
     "kestrel.plans.q_load",
+    "kestrel.plans.q_star",
 ]
 
 
