@@ -76,8 +76,8 @@ def strip_markup(c: Column | str) -> Column:
     the ends are stripped.
     """
     out = _col(c)
-    out = F.regexp_replace(out, r"(?is)<script\b[^>]*>.*?</script\s*>", " ")
-    out = F.regexp_replace(out, r"(?is)<style\b[^>]*>.*?</style\s*>", " ")
+    out = F.regexp_replace(out, r"(?is)<script\b[^>]*>.*?</script[^>]*>", " ")
+    out = F.regexp_replace(out, r"(?is)<style\b[^>]*>.*?</style[^>]*>", " ")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
     out = F.regexp_replace(out, r"<[^>]*>", " ")
     for entity, char in HTML_ENTITIES:

@@ -9,6 +9,7 @@ MODULES = [
     "kestrel.plans.q_eda",
     "kestrel.plans.q_load",
     "kestrel.plans.q_star",
+    "kestrel.plans.q_features",
 ]
 
 
