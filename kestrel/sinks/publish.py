@@ -31,14 +31,23 @@ def _commits(path: str) -> str:
     return f"{path.rstrip('/')}/_commits"
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """Largest committed version (reads the small marker folder only)."""
+MARKER_SCHEMA = "version long, batch_id long"
+
+
+def current_marker(spark: SparkSession, path: str) -> dict | None:
+    """The last commit marker ``{"version": n, "batch_id": b}`` (reads the small marker folder only)."""
     try:
-        markers = spark.read.schema("version long").json(_commits(path))
+        markers = spark.read.schema(MARKER_SCHEMA).json(_commits(path))
     except AnalysisException:
         return None
-    v = markers.agg(F.max("version")).first()[0]
-    return int(v) if v is not None else None
+    row = markers.orderBy(F.desc("version")).limit(1).collect()
+    return row[0].asDict() if row else None
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """Largest committed version, or None for a table never published."""
+    m = current_marker(spark, path)
+    return None if m is None else int(m["version"])
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
@@ -50,12 +59,15 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def atomic_publish(df: DataFrame, path: str, table: str | None = None,
-                   before_commit: Callable[[], None] | None = None, partition_by: list[str] | None = None) -> bool:
+                   before_commit: Callable[[], None] | None = None, partition_by: list[str] | None = None,
+                   batch_id: int | None = None) -> bool:
     """K8: validate (DQ1-DQ4) -> write the next version -> commit. True when committed.
 
     ``table`` selects the data-quality rules; a FAILED rule aborts before any
     write. ``before_commit`` runs after the data is written and before the
     marker (failure injection in tests). Any error leaves the table as it was.
+    ``batch_id`` is recorded in the marker so a replayed micro-batch can be
+    recognised (streaming sinks, R2).
     """
     spark = df.sparkSession
     if table is not None and not is_valid(dq_report(df, table)):
@@ -69,7 +81,7 @@ def atomic_publish(df: DataFrame, path: str, table: str | None = None,
         writer.parquet(f"{path.rstrip('/')}/v={nxt}")
         if before_commit is not None:
             before_commit()
-        spark.createDataFrame([(nxt,)], "version long").coalesce(1).write.mode("error") \
+        spark.createDataFrame([(nxt, batch_id)], MARKER_SCHEMA).coalesce(1).write.mode("error") \
              .json(f"{_commits(path)}/v={nxt}")
     except Exception:
         return False
