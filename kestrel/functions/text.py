@@ -31,9 +31,12 @@ def py_strip(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(_col(c), LEADING_WS, ""), TRAILING_WS, "")
 
 
+BLANK = "^" + WS_CLASS + r"*\z"
+
+
 def is_blank(c: Column | str) -> Column:
-    """True when null or only white space."""
-    return _col(c).isNull() | (F.length(py_strip(c)) == 0)
+    """True when null or only white space (an anchored match: stops at the first other character)."""
+    return _col(c).isNull() | _col(c).rlike(BLANK)
 
 
 def label_tokens(c: Column | str) -> Column:

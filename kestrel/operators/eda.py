@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import HISTOGRAM_BINS, TOP_KEYWORDS
 from ..functions.numeric import pct
 from ..functions.text import is_blank
-from .keys import small_lookup
+from .keys import materialize, small_lookup
 
 
 def top_k_counts(tokens: DataFrame, col: str, k: int = TOP_KEYWORDS, term_alias: str = "term") -> DataFrame:
@@ -34,22 +34,29 @@ def length_histogram(df: DataFrame, col: str, bins: int = HISTOGRAM_BINS) -> Dat
     Output: (bin, bin_lo, bin_hi, n).
     """
     x = F.col(col).cast("double")
-    vals = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
-    lo0 = vals.select(F.min("_x")).scalar()
-    hi0 = vals.select(F.max("_x")).scalar()
-    same = lo0 == hi0
-    lo = F.when(same, lo0 - 0.5).otherwise(lo0)
-    hi = F.when(same, hi0 + 0.5).otherwise(hi0)
+    # One pass over the data: counts per distinct value (partial aggregation),
+    # materialised once (one row per distinct value, so small). The range is a
+    # scalar subquery over it; binning and the bin edges read plain columns.
+    by_value = materialize(df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
+                             .groupBy("_x").agg(F.count(F.lit(1)).alias("_n")))
+    bounds = by_value.select(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+    b = by_value.withColumn("_b", bounds)
+    same = F.col("_b.lo") == F.col("_b.hi")
+    b = b.select("_x", "_n",
+                 F.when(same, F.col("_b.lo") - 0.5).otherwise(F.col("_b.lo")).alias("_lo"),
+                 F.when(same, F.col("_b.hi") + 0.5).otherwise(F.col("_b.hi")).alias("_hi"))
+    lo, hi = F.col("_lo"), F.col("_hi")
     idx = F.least(F.floor((F.col("_x") - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("long")
-    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-    edges = spark.range(bins).select(F.col("id").alias("bin"))
-    edges = edges.select("bin", (lo + F.col("bin") * (hi - lo) / bins).alias("bin_lo"),
-                         (lo + (F.col("bin") + 1) * (hi - lo) / bins).alias("bin_hi"))
-    # the bins table is ``bins`` rows by construction; empty input leaves lo/hi null -> no rows
-    out = small_lookup(counts).join(edges, "bin", "right")
-    return out.filter(F.col("bin_lo").isNotNull()).select(
-        "bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).alias("n"))
+    counts = b.groupBy(idx.alias("bin"), "_lo", "_hi").agg(F.sum("_n").alias("n"))
+    # every bin, also the empty ones: ``bins`` rows generated from the (single) range row
+    edges = (counts.select("_lo", "_hi").distinct()
+             .select("_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")))
+                     .alias("bin")))
+    edges = edges.select("bin", (F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / bins).alias("bin_lo"),
+                         (F.col("_lo") + (F.col("bin") + 1) * (F.col("_hi") - F.col("_lo")) / bins).alias("bin_hi"))
+    # both sides hold at most ``bins`` rows by construction
+    out = small_lookup(counts.select("bin", "n")).join(edges, "bin", "right")
+    return out.select("bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and read it from there.
+
+    For intermediates consumed by several branches of one plan (a subquery
+    and the main query), which Spark would otherwise recompute per branch.
+    Reliable (survives executor loss), unlike a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def dense_key(df: DataFrame, order: Sequence[str] | str, name: str, partitions: int | None = None) -> DataFrame:
     """Dense 1..n key in ``order`` without a single-partition sort.
 
@@ -25,10 +36,9 @@ def dense_key(df: DataFrame, order: Sequence[str] | str, name: str, partitions:
     # Range bounds come from sampling, so two evaluations of this frame could
     # cut partitions differently; a reliable checkpoint (shared storage,
     # survives executor loss) pins one partitioning for the sizes and the rows.
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    ranged = materialize(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
