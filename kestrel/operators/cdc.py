@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_fda_date, unify_dates
 from .clean import choose_modified
 from .dedupe import previous_in_key
+from .load import keys_in
 
 INSERT, UPDATE, NOOP = "insert", "update", "noop"
 
@@ -30,7 +31,9 @@ def cdc_classify(stored: DataFrame, incoming: DataFrame, key: str = "safetyrepor
     inc = incoming.filter(F.col(key).isNotNull() & (F.col(key) != ""))
     inc = inc.withColumn("modified", parse_fda_date(choose_modified("receiptdate", "receivedate")))
     inc = previous_in_key(inc, key, order, "modified", "_prev", "_has_prev", bucket_width)
-    st = stored.select(key, F.col(stored_date).alias("_stored"), F.lit(True).alias("_exists"))
+    # only stored rows of ids in this batch take part (see ``keys_in``)
+    st = keys_in(stored.select(key, F.col(stored_date).alias("_stored"), F.lit(True).alias("_exists")),
+                 inc.select(key).distinct(), key)
     j = inc.join(st, key, "left")
     prev = F.when(F.col("_has_prev"), F.col("_prev")).otherwise(F.col("_stored"))
     exists = F.col("_has_prev") | F.col("_exists").isNotNull()
@@ -55,24 +58,29 @@ def cdc_apply(stored: DataFrame, classified: DataFrame, key: str = "safetyreport
     Per id: the date of its last incoming record; the payload of its last
     insert/update (``last_change_seq`` names that record, null = unchanged);
     the ingredient term is kept on update, taken from the first record on
-    insert. Per-id figures are aggregations (pre-reduced per task), then
-    merged with the stored rows by a full outer join on the key.
+    insert. Per-id figures are aggregations (pre-reduced per task); only
+    stored rows of the batch's ids are joined, the rest pass through.
     """
     per_id = classified.groupBy(key).agg(
         F.max_by("modified", F.col(order)).alias("_last_date"),
         F.max(F.when(F.col("change") != NOOP, F.col(order))).alias("last_change_seq"),
         F.min_by(term, F.col(order)).alias("_first_term"),
-    ).withColumn("_in_batch", F.lit(True))
-    st = stored.select(key, F.col(term).alias("_st_term"), F.col(stored_date).alias("_st_date"),
-                       F.lit(True).alias("_st"))
-    j = st.join(per_id, key, "full_outer")
-    return j.select(
+    )
+    batch_keys = per_id.select(key)
+    # rows of ids outside the batch pass through unchanged (anti-join with the
+    # batch's key set, broadcast when small: the stored table is not shuffled)
+    untouched = stored.join(batch_keys, key, "left_anti").select(
+        key, term, stored_date, F.lit(None).cast("long").alias("last_change_seq"))
+    st = keys_in(stored, batch_keys, key).select(
+        key, F.col(term).alias("_st_term"), F.col(stored_date).alias("_st_date"), F.lit(True).alias("_st"))
+    j = per_id.join(st, key, "left")
+    touched = j.select(
         key,
         F.when(F.col("_st").isNotNull(), F.col("_st_term")).otherwise(F.col("_first_term")).alias(term),
-        F.when(F.col("_in_batch").isNotNull(), F.col("_last_date")).otherwise(F.col("_st_date"))
-         .alias(stored_date),
+        F.col("_last_date").alias(stored_date),
         "last_change_seq",
     )
+    return untouched.unionByName(touched)
 
 
 def backfill(df: DataFrame, date_col: str, from_date: str, to_date: str, parsed: str = "backfill_ts") -> DataFrame:

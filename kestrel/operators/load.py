@@ -22,17 +22,29 @@ def _cols(x: Sequence[str] | str) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def keys_in(table: DataFrame, batch_keys: DataFrame, key: str) -> DataFrame:
+    """The table's rows whose key occurs in the batch.
+
+    The batch's key set is the small side: once AQE measures it below the
+    broadcast threshold it is broadcast and the (large) table is filtered
+    map-side, without shuffling it; otherwise both sides shuffle on the key.
+    """
+    return table.join(batch_keys, key, "left_semi")
+
+
 def new_rows(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str] | str) -> DataFrame:
     """Rows ``insert_if_absent`` would add: first per key in the batch, key not in the target."""
     first = first_per_key(drop_null_keys(batch, key), key, _cols(order))
-    return first.join(target.select(key), key, "left_anti")
+    present = keys_in(target.select(key), first.select(key), key)
+    return first.join(present, key, "left_anti")
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str] | str) -> DataFrame:
     """Existing rows win, the first batch row per key wins, a rerun adds nothing.
 
-    Plan: aggregate-based dedupe of the batch, anti-join on the key (both
-    sides hash-partitioned on it), union. Output has the target's columns.
+    Plan: aggregate-based dedupe of the batch; the target's keys narrowed to
+    the batch's (``keys_in``), then an anti-join of two batch-sized sides;
+    union. Output has the target's columns.
     """
     return target.unionByName(new_rows(target, batch, key, order).select(*target.columns))
 

@@ -27,26 +27,24 @@ def product_risk(labels: DataFrame, registry_clean: DataFrame, synonyms: DataFra
 
     Plan: explode -> join registry on the standard name (the registry is a
     dimension; AQE broadcasts it when its measured size allows, otherwise a
-    shuffle join with skew splitting) -> partial aggregation per product ->
-    join back to the product list (both sides keyed by product).
+    shuffle join with skew splitting) -> partial aggregation per product.
+    One shuffle (the aggregation) when the registry is broadcast.
     """
-    tokens = label_token_rows(labels, code, text)
+    # explode_outer keeps a product without tokens as one row with a null token,
+    # so the aggregate below yields every product without a join back
+    tokens = labels.select(code, F.explode_outer(label_tokens(text)).alias("token"))
     tokens = standardise(tokens, "token", synonyms, "std")
+    tokens = tokens.withColumn("std", F.when(F.col("token").isNotNull(), F.col("std")))
     reg = registry_clean.select(F.col("inci_name_std").alias("std"), F.col("regulatory_status").alias("_status"))
-    scored = tokens.join(reg, "std", "left").withColumn(
-        "_status", F.coalesce(F.col("_status"), F.lit(STATUS_DEFAULT)))
-    scored = scored.withColumn("_w", risk_weight("_status"))
-    per_product = scored.groupBy(code).agg(
-        F.avg("_w").alias("risk_score"),
-        F.max("_w").alias("risk_max"),
-        F.count_if(F.col("_status").isin(*FLAGGED_STATUSES)).alias("flagged_ingredients"),
-        F.count(F.lit(1)).alias("total_ingredients"),
-    )
-    products = labels.select(code).join(per_product, code, "left")
-    return products.select(
-        code, "risk_score", "risk_max",
-        F.coalesce("flagged_ingredients", F.lit(0)).cast("long").alias("flagged_ingredients"),
-        F.coalesce("total_ingredients", F.lit(0)).cast("long").alias("total_ingredients"),
+    scored = tokens.join(reg, "std", "left")
+    has_token = F.col("token").isNotNull()
+    status = F.coalesce(F.col("_status"), F.lit(STATUS_DEFAULT))
+    weight = F.when(has_token, risk_weight(status))
+    return scored.groupBy(code).agg(
+        F.avg(weight).alias("risk_score"),
+        F.max(weight).alias("risk_max"),
+        F.count_if(has_token & status.isin(*FLAGGED_STATUSES)).cast("long").alias("flagged_ingredients"),
+        F.count("token").cast("long").alias("total_ingredients"),
     )
 
 

@@ -261,3 +261,18 @@ def test_slug_and_strip_markup(spark):
     r = df.select(text.slug("t").alias("s"), text.strip_markup("h").alias("m")).first()
     assert r.s == "Épisode_1__Skin____Care_____"
     assert r.m == "Hi & bye"
+
+
+def test_stringify_keeps_nulls_and_nests_json(spark):
+    df = spark.createDataFrame([(1, None, [1, 2], {"a": 1.5})], "n long, s string, arr array<int>, st struct<a:double>")
+    r = clean.stringify(df).first()
+    assert (r.n, r.s, r.arr, r.st) == ("1", None, "[1,2]", '{"a":1.5}')
+
+
+def test_normalise_and_keep_present(spark):
+    df = spark.createDataFrame([(1, 2)], "` Regulatory Status ` long, `INCI name` long")
+    df = clean.normalise_columns(df)
+    assert df.columns == ["regulatory_status", "inci_name"]
+    assert clean.keep_present(df, ["inci_name", "concentration_limit"]).columns == ["inci_name"]
+    filled = clean.fill_defaults(spark.createDataFrame([("x",)], "inci_name string"))
+    assert (filled.first().regulatory_status, filled.first().function) == ("unknown", "unspecified")
