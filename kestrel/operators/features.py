@@ -26,7 +26,10 @@ def tfidf(tokens: DataFrame, doc: str, term: str, n_docs, max_features: int = TF
     ``n_docs`` is a Column (scalar subquery) or number: all documents, also
     those left without vocabulary terms.
     """
-    tf = tokens.groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf"))
+    # the explicit not-null filter makes both uses of ``tf`` (vocabulary, weights)
+    # the same plan, so the token aggregation's exchange is computed once and reused
+    tf = tokens.filter(F.col(doc).isNotNull() & F.col(term).isNotNull()) \
+               .groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf"))
     stats = tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     vocab = stats.filter(F.col("df") >= min_df).orderBy(F.desc("total"), F.asc(term)).limit(max_features)
     idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)

@@ -200,17 +200,15 @@ def q_first_n_per_group(spark, sf_dir):
 
 LOADED_ABSTRACTS_CTE = {
     "loaded_abs": """
-SELECT * FROM abs_feat
-WHERE CAST(pmid AS BIGINT) % 2 = 0 AND CAST(pmid AS BIGINT) < (SELECT max(CAST(pmid AS BIGINT)) FROM abs_feat) / 2""",
+SELECT * FROM abs_feat a
+WHERE EXISTS (SELECT 1 FROM labels l WHERE CAST(l.doc_id AS VARCHAR) = a.pmid)""",
 }
 
 
 def loaded_abstracts_df(v: Views):
-    """Prior load of the evidence table: even ids in the lower half of the id range."""
-    proc = abstracts_processed_df(v)
-    ids = F.col("pmid").cast("long")
-    top = proc.select(F.max(F.col("pmid").cast("long"))).scalar()
-    return proc.filter((ids % 2 == 0) & (ids < top / 2))
+    """Prior load of the evidence table: the processed abstracts that already have labels."""
+    labelled = v.table("labels", ["doc_id"]).select(F.col("doc_id").cast("string").alias("pmid"))
+    return abstracts_processed_df(v).join(labelled, "pmid", "left_semi")
 
 
 @query("id_difference", with_views(

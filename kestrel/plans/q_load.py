@@ -105,7 +105,7 @@ PAGE_CODE = r"/([0-9]+)([?#]|$)"
 WITH docs AS (
   SELECT coalesce(nullif(regexp_extract(url, '{PAGE_CODE}', 1), ''), sha256(html)) AS doc_key, page_id, url
   FROM pages),
-tgt AS (SELECT doc_key, page_id, url, 0 AS src FROM docs WHERE page_id % 2 = 0),
+tgt AS (SELECT doc_key, page_id, url, 0 AS src FROM docs WHERE url LIKE '%/en/%'),
 bat AS (SELECT doc_key, page_id, url, 1 AS src FROM docs)
 SELECT doc_key, page_id, url FROM (SELECT * FROM tgt UNION ALL SELECT * FROM bat)
 QUALIFY row_number() OVER (PARTITION BY doc_key ORDER BY src DESC, page_id DESC) = 1""")
@@ -114,7 +114,7 @@ def q_replace_upsert(spark, sf_dir):
     pages = v.table("pages", ["page_id", "url", "html"])
     docs = pages.select(load.document_key(F.regexp_extract("url", PAGE_CODE, 1), F.col("html")).alias("doc_key"),
                         "page_id", "url")
-    target = docs.filter(F.col("page_id") % 2 == 0)
+    target = docs.filter(F.col("url").contains("/en/"))    # stored by an earlier run: the English pages
     return load.replace_upsert(target, docs, "doc_key", "page_id")
 
 

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of dropped DataFrames are removed (they live in shared storage)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -14,8 +14,9 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from kestrel.session import build_session
 
-    s = build_session("local[8]", app_name="kestrel-tests", shuffle_partitions=8,
-                      extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="kestrel-test-ckpt-")})
+    # spark.checkpoint.dir comes from the environment when set; build_session
+    # makes a private one only when it is unset
+    s = build_session("local[8]", app_name="kestrel-tests", shuffle_partitions=8)
     yield s
     s.stop()
 
