@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import fda_to_iso, unify_dates
+from ..functions.dates import fda_to_iso, iso_to_fda, unify_dates
 from ..functions.text import html_title, slug, strip_markup
 from ..operators import features
 from ..operators.clean import abstract_tokens
@@ -92,7 +92,8 @@ def q_slug(spark, sf_dir):
 @query("unify_dates", """
 SELECT event_id, raw,
        CASE WHEN event_id % 3 = 0 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE date_trunc('second', ts) END AS unified,
-       CASE WHEN event_id % 3 = 0 THEN strftime(CAST(ts AS DATE), '%Y-%m-%d') END AS iso_date
+       CASE WHEN event_id % 3 = 0 THEN strftime(CAST(ts AS DATE), '%Y-%m-%d') END AS iso_date,
+       CASE WHEN event_id % 3 = 0 THEN strftime(CAST(ts AS DATE), '%Y%m%d') END AS fda_date
 FROM (SELECT event_id, ts,
              CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y%m%d')
                                WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
@@ -105,5 +106,6 @@ def q_unify_dates(spark, sf_dir):
            .when(m == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
            .otherwise(F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))))
     t = ev.select("event_id", raw.alias("raw"))
-    return t.select("event_id", "raw", unify_dates("raw").cast("timestamp_ntz").alias("unified"),
-                    fda_to_iso("raw").alias("iso_date"))
+    t = t.select("event_id", "raw", unify_dates("raw").cast("timestamp_ntz").alias("unified"),
+                 fda_to_iso("raw").alias("iso_date"))
+    return t.withColumn("fda_date", iso_to_fda("iso_date"))

@@ -180,3 +180,11 @@ def q_allocate_length(spark, sf_dir):
     df = v.abstracts().withColumn("_len", F.length("abstract"))
     out = clean.allocate_length(df, "pmid", "ingredient_term", "_len", order="pmid")
     return out.select("ingredient_term", "pmid", "abstract_length")
+
+
+@query("date_quality", with_views(
+    """SELECT count(*) FILTER (WHERE d > DATE '""" + AS_OF + """') AS n_future,
+              count(*) FILTER (WHERE d IS NULL) AS n_unparseable
+       FROM (SELECT CAST(try_strptime(receivedate, '%Y%m%d') AS DATE) AS d FROM reports_v)""", "reports_v"))
+def q_date_quality(spark, sf_dir):
+    return clean.date_quality_counts(Views(spark, sf_dir).reports(), "receivedate", AS_OF)

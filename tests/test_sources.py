@@ -56,6 +56,10 @@ def test_reports_json_arrays_term_from_file(spark, scratch):
     assert {r.ingredient_term for r in rows} == {"vitamin c"}
     assert rows[1].receiptdate == "20240107"
     assert files.corrupt_report_files(df).count() == 0
+    _write(os.path.join(d, "openfda_retinol_2024-02-01.json"), '[{"safetyreportid": "3", ')
+    bad = files.corrupt_report_files(files.read_reports(spark, d)).collect()
+    assert [r.source_file for r in bad] == ["openfda_retinol_2024-02-01.json"]
+    assert files.read_reports(spark, d).filter("raw is not null").count() == 2
 
 
 def test_product_pages_variant(spark, scratch):
