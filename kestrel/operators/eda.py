@@ -90,9 +90,10 @@ def broken_share(manifest: DataFrame, available: DataFrame, key: str) -> DataFra
     broken = manifest.join(available.select(key).distinct(), key, "left_anti")
     n_manifest = manifest.select(F.count(F.lit(1))).scalar()
     n_available = available.select(F.count(F.lit(1))).scalar()
-    return broken.agg(F.count(F.lit(1)).alias("n_broken")).select(
-        n_manifest.alias("n_manifest"), n_available.alias("n_available"), "n_broken",
-        pct(100 * F.col("n_broken") / F.greatest(n_manifest, F.lit(1))).alias("pct_broken"))
+    counts = broken.agg(F.count(F.lit(1)).alias("n_broken")).select(
+        n_manifest.alias("n_manifest"), n_available.alias("n_available"), "n_broken")
+    return counts.withColumn("pct_broken",
+                             pct(100 * F.col("n_broken") / F.greatest(F.col("n_manifest"), F.lit(1))))
 
 
 def missingness_summary(parts: list[DataFrame]) -> DataFrame:

@@ -71,7 +71,8 @@ def pca_2d(df: DataFrame, key: list[str], vec: str, k: int = 2, seed: int = 42)
                         F.lit(0.0), lambda acc, x: acc + x).alias(f"_d{j}") for j in range(k)]
     proj = vectors.select(*key, *dots)
     means = proj.select(F.array(*[F.avg(f"_d{j}") for j in range(k)])).scalar()
-    return proj.select(*key, *[(F.col(f"_d{j}") - means[j]).alias(names[j]) for j in range(k)])
+    proj = proj.withColumn("_means", means)       # the subquery enters once, as a column
+    return proj.select(*key, *[(F.col(f"_d{j}") - F.col("_means")[j]).alias(names[j]) for j in range(k)])
 
 
 def mean_pool(frames: DataFrame, key: str, vec: str) -> DataFrame:

@@ -57,8 +57,13 @@ def numeric_id(key: str) -> Column:
 def above_id_watermark(batch: DataFrame, key: str, watermark: Column | None) -> DataFrame:
     """K2 filter: numeric id strictly above the watermark; no watermark -> all numeric ids."""
     n = numeric_id(key)
-    cond = n.isNotNull() if watermark is None else (n > watermark) | (n.isNotNull() & watermark.isNull())
-    return batch.filter(cond)
+    if watermark is None:
+        return batch.filter(n.isNotNull())
+    # the watermark (a scalar subquery) enters once, as a column: each textual
+    # reference to a subquery would otherwise be planned and run separately
+    wm = F.col("_wm")
+    return batch.withColumn("_wm", watermark.cast("long")) \
+                .filter(n.isNotNull() & (wm.isNull() | (n > wm))).drop("_wm")
 
 
 def non_numeric_ids(batch: DataFrame, key: str) -> DataFrame:
@@ -75,9 +80,13 @@ def incremental_by_id(target: DataFrame, batch: DataFrame, key: str, watermark:
 def incremental_by_date(target: DataFrame, batch: DataFrame, key: str, date_col: str,
                         watermark: Column | None, order: Sequence[str] | str) -> DataFrame:
     """K3: keep typed dates strictly after the watermark, then insert if absent (no blind append)."""
-    cond = F.col(date_col).isNotNull() if watermark is None else \
-        (F.col(date_col) > watermark) | (F.col(date_col).isNotNull() & watermark.isNull())
-    return insert_if_absent(target, batch.filter(cond), key, order)
+    d = F.col(date_col)
+    if watermark is None:
+        kept = batch.filter(d.isNotNull())
+    else:
+        wm = F.col("_wm")
+        kept = batch.withColumn("_wm", watermark).filter(d.isNotNull() & (wm.isNull() | (d > wm))).drop("_wm")
+    return insert_if_absent(target, kept, key, order)
 
 
 def replace_upsert(target: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:

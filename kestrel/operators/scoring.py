@@ -54,8 +54,10 @@ def evidence_scores(processed_abstracts: DataFrame, term: str = "ingredient_term
               .groupBy(term).agg(F.count(F.lit(1)).alias("pubmed_hits")))
     # the largest count enters as a scalar subquery over the (one row per term) result
     mx = counts.select(F.max("pubmed_hits")).scalar()
-    return counts.select(term, "pubmed_hits",
-                         (F.col("pubmed_hits") / F.coalesce(F.nullif(mx, F.lit(0)), F.lit(1))).alias("evidence_score"))
+    with_max = counts.withColumn("_mx", mx)       # the subquery enters once, as a column
+    return with_max.select(term, "pubmed_hits",
+                           (F.col("pubmed_hits") / F.coalesce(F.nullif("_mx", F.lit(0)), F.lit(1)))
+                           .alias("evidence_score"))
 
 
 def match_check(labels: DataFrame, registry_clean: DataFrame, code: str = "product_code",

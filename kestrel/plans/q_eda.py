@@ -111,10 +111,10 @@ def q_dup_counts(spark, sf_dir):
 def q_missingness_summary(spark, sf_dir):
     v = Views(spark, sf_dir)
     avail, manifest = v.available(), v.manifest()
-    n_av = avail.select(F.count(F.lit(1))).scalar()
     n_man = manifest.select(F.count(F.lit(1))).scalar()
-    images = avail.agg(F.lit("obf_images").alias("source"), F.count(F.lit(1)).alias("n_rows")).select(
-        "source", "n_rows", F.bround(100 * (1 - n_av / F.greatest(n_man, F.lit(1))), 1).alias("pct_missing_key_field"))
+    images = avail.agg(F.lit("obf_images").alias("source"), F.count(F.lit(1)).alias("n_rows"), n_man.alias("_m"))
+    images = images.select("source", "n_rows", F.bround(100 * (1 - F.col("n_rows") / F.greatest("_m", F.lit(1))), 1)
+                           .alias("pct_missing_key_field"))
     return eda.missingness_summary([
         eda.source_summary(abstracts_processed_df(v), "pubmed_text", is_blank("pmid")),
         images,
