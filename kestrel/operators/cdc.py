@@ -52,34 +52,52 @@ def cdc_counts(classified: DataFrame) -> DataFrame:
 
 
 def cdc_apply(stored: DataFrame, classified: DataFrame, key: str = "safetyreportid", order: str = "seq",
-              term: str = "ingredient_term", stored_date: str = "receivedate") -> DataFrame:
+              term: str = "ingredient_term", stored_date: str = "receivedate", payload: str | None = None,
+              loaded_at: str | None = None) -> DataFrame:
     """CD2: the stored table after the batch.
 
     Per id: the date of its last incoming record; the payload of its last
     insert/update (``last_change_seq`` names that record, null = unchanged);
     the ingredient term is kept on update, taken from the first record on
-    insert. Per-id figures are aggregations (pre-reduced per task); only
-    stored rows of the batch's ids are joined, the rest pass through.
+    insert. With ``payload`` (a column of the incoming records, also stored)
+    the stored payload is replaced by that record's; with ``loaded_at`` (a
+    'yyyy-MM-dd HH:mm:ss' run parameter, never the wall clock) changed rows
+    get that load time and the others keep theirs.
+
+    Per-id figures are aggregations (pre-reduced per task); only stored rows of
+    the batch's ids are joined, the rest pass through.
     """
-    per_id = classified.groupBy(key).agg(
+    changed_seq = F.when(F.col("change") != NOOP, F.col(order))
+    aggs = [
         F.max_by("modified", F.col(order)).alias("_last_date"),
-        F.max(F.when(F.col("change") != NOOP, F.col(order))).alias("last_change_seq"),
+        F.max(changed_seq).alias("last_change_seq"),
         F.min_by(term, F.col(order)).alias("_first_term"),
-    )
+    ]
+    if payload:
+        aggs.append(F.max_by(payload, changed_seq).alias("_new_payload"))   # null orderings (noops) are skipped
+    per_id = classified.groupBy(key).agg(*aggs)
+    extra = [c for c in (payload, "loaded_at" if loaded_at else None) if c and c in stored.columns]
     batch_keys = per_id.select(key)
     # rows of ids outside the batch pass through unchanged (anti-join with the
     # batch's key set, broadcast when small: the stored table is not shuffled)
     untouched = stored.join(batch_keys, key, "left_anti").select(
-        key, term, stored_date, F.lit(None).cast("long").alias("last_change_seq"))
+        key, term, stored_date, *extra, F.lit(None).cast("long").alias("last_change_seq"))
     st = keys_in(stored, batch_keys, key).select(
-        key, F.col(term).alias("_st_term"), F.col(stored_date).alias("_st_date"), F.lit(True).alias("_st"))
+        key, F.col(term).alias("_st_term"), F.col(stored_date).alias("_st_date"),
+        *[F.col(c).alias("_st_" + c) for c in extra], F.lit(True).alias("_st"))
     j = per_id.join(st, key, "left")
-    touched = j.select(
+    changed = F.col("last_change_seq").isNotNull()
+    cols = [
         key,
         F.when(F.col("_st").isNotNull(), F.col("_st_term")).otherwise(F.col("_first_term")).alias(term),
         F.col("_last_date").alias(stored_date),
-        "last_change_seq",
-    )
+    ]
+    if payload and payload in stored.columns:
+        cols.append(F.when(changed, F.col("_new_payload")).otherwise(F.col("_st_" + payload)).alias(payload))
+    if loaded_at and "loaded_at" in stored.columns:
+        cols.append(F.when(changed, F.lit(loaded_at).cast("timestamp")).otherwise(F.col("_st_loaded_at"))
+                    .alias("loaded_at"))
+    touched = j.select(*cols, "last_change_seq")
     return untouched.unionByName(touched)
 
 

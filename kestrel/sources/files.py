@@ -56,7 +56,8 @@ def read_reports(spark: SparkSession, directory: str, pattern: str = REPORT_FILE
 
     Records stay whole as a VARIANT (``raw``) beside the typed fields the
     pipeline uses; the term comes from the file name (the records do not
-    carry it). Files starting with '_' (the watermark file) are skipped by
+    carry it). ``(source_file, record_pos)`` is an explicit landing order for
+    first-wins rules. Files starting with '_' (the watermark file) are skipped by
     Spark, as the glob skips them. Malformed files surface as rows with a null
     ``raw`` (see ``corrupt_report_files``) instead of vanishing.
     """
@@ -64,14 +65,15 @@ def read_reports(spark: SparkSession, directory: str, pattern: str = REPORT_FILE
             .option("pathGlobFilter", pattern).json(directory)
             .withColumn("_file", F.col("_metadata.file_name")))
     # one row per array element; a file that is not a JSON array keeps one row with a null record
-    df = docs.select("_file", F.explode_outer(F.try_variant_get("doc", "$", "array<variant>")).alias("raw"))
+    df = docs.select("_file", F.posexplode_outer(F.try_variant_get("doc", "$", "array<variant>"))
+                     .alias("record_pos", "raw"))
     term = F.replace(F.regexp_extract("_file", r"^openfda_(.*)_\d{4}-\d{2}-\d{2}\.json$", 1), F.lit("_"), F.lit(" "))
     return df.select(
         F.try_variant_get("raw", "$.safetyreportid", "string").alias("safetyreportid"),
         F.try_variant_get("raw", "$.receivedate", "string").alias("receivedate"),
         F.try_variant_get("raw", "$.receiptdate", "string").alias("receiptdate"),
         term.alias("ingredient_term"),
-        "raw", F.col("_file").alias("source_file"),
+        "raw", F.col("_file").alias("source_file"), F.col("record_pos").cast("long").alias("record_pos"),
     )
 
 

@@ -276,3 +276,24 @@ def test_normalise_and_keep_present(spark):
     assert clean.keep_present(df, ["inci_name", "concentration_limit"]).columns == ["inci_name"]
     filled = clean.fill_defaults(spark.createDataFrame([("x",)], "inci_name string"))
     assert (filled.first().regulatory_status, filled.first().function) == ("unknown", "unspecified")
+
+
+def test_cdc_apply_payload_and_load_time(spark):
+    stored = spark.createDataFrame([("1", "retinol", "2024-01-01", '{"v": 0}', "2024-01-01 00:00:00"),
+                                    ("9", "arbutin", "2024-01-03", '{"v": 9}', "2024-01-03 00:00:00")],
+                                   "safetyreportid string, ingredient_term string, receivedate string, "
+                                   "raw_payload string, loaded_at string")
+    stored = stored.select("safetyreportid", "ingredient_term", F.col("receivedate").cast("date").alias("receivedate"),
+                           "raw_payload", F.col("loaded_at").cast("timestamp").alias("loaded_at"))
+    incoming = spark.createDataFrame([
+        (1, "1", "retinol", "20240102", None, '{"v": 1}'),     # update
+        (2, "1", "retinol", "20240102", None, '{"v": 2}'),     # noop: payload stays the update's
+        (3, "2", "peptide", "20240105", None, '{"v": 3}'),     # insert
+    ], "seq long, safetyreportid string, ingredient_term string, receivedate string, receiptdate string, "
+       "raw_payload string")
+    cls = cdc.cdc_classify(stored, incoming)
+    out = {r.safetyreportid: r for r in cdc.cdc_apply(stored, cls, payload="raw_payload",
+                                                       loaded_at="2024-02-01 10:00:00").collect()}
+    assert out["1"].raw_payload == '{"v": 1}' and str(out["1"].loaded_at) == "2024-02-01 10:00:00"
+    assert out["2"].raw_payload == '{"v": 3}' and out["2"].ingredient_term == "peptide"
+    assert out["9"].raw_payload == '{"v": 9}' and str(out["9"].loaded_at) == "2024-01-03 00:00:00"
