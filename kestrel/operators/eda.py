@@ -114,16 +114,24 @@ def caption_coverage(items: DataFrame, transcripts: DataFrame, key: str, flag: s
                  pct(100 * F.avg(needs.cast("double"))).alias("pct_fallback"))
 
 
-def join_segments(segments: DataFrame, key: str, pos: str, text: str) -> DataFrame:
+def join_segments(segments: DataFrame, key: str, pos: str, text: str, bucket: int = 1024) -> DataFrame:
     """A media item's segments joined by one space, in order; and its length.
 
-    The transcript is one value per item, so the item's segments meet in one
-    row; the sort key keeps the order independent of the shuffle.
+    Two levels, so a very long item is not sorted in one task: segments are
+    first joined per (item, position range of ``bucket`` segments), spread
+    over tasks; then the item's partial texts (one per range) are joined in
+    range order. The transcript is one value per item, so its parts meet in
+    one row at the end.
     """
-    agg = segments.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_segments"),
+    part = segments.withColumn("_b", F.floor(F.col(pos) / F.lit(bucket)))
+    partial = part.groupBy(key, "_b").agg(
+        F.count(F.lit(1)).alias("_n"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(text)))),
-                                 lambda s: s[text]), " ").alias("transcript"))
+                                 lambda s: s[text]), " ").alias("_part"))
+    agg = partial.groupBy(key).agg(
+        F.sum("_n").alias("n_segments"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "_part"))),
+                                 lambda s: s["_part"]), " ").alias("transcript"))
     return agg.withColumn("transcript_len", F.length("transcript").cast("long"))
 
 

@@ -73,3 +73,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for published tables and stream checkpoints (shared on a cluster)."""
     return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def suggested_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input: shuffle partitions so that each holds about
+    ``target_partition_bytes`` (AQE coalesces the small ones and splits skewed
+    ones), at least two per core; scans split at the same size."""
+    partitions = max(2 * cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -14,9 +14,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.constants import WINDOW_RECORD_CEILING
 from ..functions.dates import parse_fda_date
 from ..operators import cdc
+from ..session import scratch_root
 from ..sinks import publish
 
 
+def default_checkpoint(spark: SparkSession, name: str) -> str:
+    """A stream's checkpoint folder under the session's shared ``spark.checkpoint.dir``."""
+    return f"{scratch_root(spark)}/streams/{name}"
+
+
 def landing_stream(spark: SparkSession, source_dir: str, schema, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """A file-source stream over a landing folder (explicit schema, no inference)."""
@@ -28,7 +34,7 @@ def landing_stream(spark: SparkSession, source_dir: str, schema, fmt: str = "par
     return reader.load(source_dir)
 
 
-def stream_landing(spark: SparkSession, source_dir: str, schema, target_dir: str, checkpoint_dir: str,
+def stream_landing(spark: SparkSession, source_dir: str, schema, target_dir: str, checkpoint_dir: str | None = None,
                    fmt: str = "parquet") -> StreamingQuery:
     """Copy every new landing file into the target table once.
 
@@ -37,15 +43,16 @@ def stream_landing(spark: SparkSession, source_dir: str, schema, target_dir: str
     ``trigger(availableNow)`` processes what is there and stops.
     """
     df = landing_stream(spark, source_dir, schema, fmt)
+    ckpt = checkpoint_dir or default_checkpoint(spark, "landing")
     return (df.writeStream.format("parquet").option("path", target_dir)
-            .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+            .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
 
 def _typed_store(df: DataFrame) -> DataFrame:
     return df.select("safetyreportid", "ingredient_term", "receivedate")
 
 
-def stream_cdc(spark: SparkSession, source_dir: str, schema, table_path: str, checkpoint_dir: str,
+def stream_cdc(spark: SparkSession, source_dir: str, schema, table_path: str, checkpoint_dir: str | None = None,
                fmt: str = "parquet", max_files_per_trigger: int | None = 1) -> StreamingQuery:
     """R2: every micro-batch of incoming reports goes through CD1/CD2 and is published (K8).
 
@@ -65,7 +72,8 @@ def stream_cdc(spark: SparkSession, source_dir: str, schema, table_path: str, ch
             raise RuntimeError(f"publish of batch {batch_id} failed; the batch will be retried")
 
     df = landing_stream(spark, source_dir, schema, fmt, max_files_per_trigger)
-    return (df.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_dir)
+    ckpt = checkpoint_dir or default_checkpoint(spark, "cdc")
+    return (df.writeStream.foreachBatch(apply_batch).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
