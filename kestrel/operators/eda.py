@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import HISTOGRAM_BINS, TOP_KEYWORDS
 from ..functions.numeric import pct
-from ..functions.text import is_blank
 from .keys import materialize, small_lookup
 
 
@@ -152,7 +151,3 @@ def preview(df: DataFrame, columns: Sequence[str], order: Sequence[str], n: int
 def id_difference(ids: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
     """U4: ids not yet loaded (anti-join; both sides shuffle on the key)."""
     return ids.select(key).join(loaded.select(key), key, "left_anti")
-
-
-def blank_or_null(c: str) -> F.Column:
-    return is_blank(c)

@@ -49,11 +49,6 @@ def dense_key(df: DataFrame, order: Sequence[str] | str, name: str, partitions:
     )
 
 
-def hash_key(cols: Sequence[str], name: str):
-    """Fact keys: a 64-bit hash of the natural grain (no ordering needed)."""
-    return F.xxhash64(*[F.col(c) for c in cols]).alias(name)
-
-
 def small_lookup(df: DataFrame) -> DataFrame:
     """Broadcast a lookup table whose size is bounded by construction.
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.constants import WINDOW_RECORD_CEILING
-from ..functions.dates import parse_fda_date
 from ..operators import cdc
 from ..session import scratch_root
 from ..sinks import publish
@@ -99,8 +98,3 @@ def stream_window_counts(df: DataFrame, ts: str, key: str, duration: str = "1 da
     counts = e.groupBy(F.window(ts, duration).alias("w"), key).agg(F.count(F.lit(1)).alias("n_events"))
     return counts.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                          "n_events", (F.col("n_events") > ceiling).alias("over_ceiling"))
-
-
-def typed_reports(df: DataFrame) -> DataFrame:
-    """Incoming report records with a typed received date (for stored tables)."""
-    return df.withColumn("receivedate", parse_fda_date("receivedate"))

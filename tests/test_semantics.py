@@ -297,3 +297,15 @@ def test_cdc_apply_payload_and_load_time(spark):
     assert out["1"].raw_payload == '{"v": 1}' and str(out["1"].loaded_at) == "2024-02-01 10:00:00"
     assert out["2"].raw_payload == '{"v": 3}' and out["2"].ingredient_term == "peptide"
     assert out["9"].raw_payload == '{"v": 9}' and str(out["9"].loaded_at) == "2024-01-03 00:00:00"
+
+
+def test_pooled_vectors_watermark_value_and_sizing(spark):
+    frames = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 6.0])], "k long, v array<double>")
+    pooled = {r.k: r.pooled for r in features.pooled_vectors(features.mean_pool(frames, "k", "v"), "k").collect()}
+    assert pooled == {1: [2.0, 3.0], 2: [5.0, 6.0]}
+    wm = spark.createDataFrame([("pubmed", "42"), ("openfda", "2024-01-01")], "source_name string, last_value string")
+    assert spark.range(1).select(load.watermark_value(wm, "pubmed").alias("w")).first().w == "42"
+    assert spark.range(1).select(load.watermark_value(wm, "absent").alias("w")).first().w is None
+    from kestrel.session import suggested_conf
+    conf = suggested_conf(100 * 2**40, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20) + 1
