@@ -89,15 +89,18 @@ def read_product_pages(spark: SparkSession, directory: str, pattern: str = PAGE_
     image and the generic image field; the product itself stays a VARIANT.
     """
     pages = (spark.read.option("multiLine", True).option("singleVariantColumn", "page")
-             .option("pathGlobFilter", pattern).json(directory))
-    prods = pages.select(F.explode(F.try_variant_get("page", "$.products", "array<variant>")).alias("product"))
+             .option("pathGlobFilter", pattern).json(directory)
+             .withColumn("source_file", F.col("_metadata.file_name")))
+    prods = pages.select("source_file", F.posexplode(F.try_variant_get("page", "$.products", "array<variant>"))
+                         .alias("record_pos", "product"))
     code = F.coalesce(F.nullif(F.try_variant_get("product", "$.code", "string"), F.lit("")), F.lit("unknown"))
     image = F.coalesce(F.nullif(F.try_variant_get("product", "$.image_front_url", "string"), F.lit("")),
                        F.nullif(F.try_variant_get("product", "$.image_url", "string"), F.lit("")))
     return prods.select(code.alias("product_code"),
                         F.try_variant_get("product", "$.categories", "string").alias("category"),
                         F.try_variant_get("product", "$.ingredients_text", "string").alias("ingredients_text"),
-                        image.alias("image_url"), "product")
+                        image.alias("image_url"), "product", "source_file",
+                        F.col("record_pos").cast("long").alias("record_pos"))
 
 
 VIDEO_MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in
