@@ -215,3 +215,23 @@ def run_all(spark: SparkSession, raw_dir: str, warehouse_dir: str, run_date: str
     write_reports(wh)
     build_star(wh, syn, run_date)
     return olap(wh)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m kestrel.jobs RAW_DIR WAREHOUSE_DIR RUN_DATE — run every job, print the OLAP answers."""
+    import sys
+
+    from .session import build_session
+
+    args = argv if argv is not None else sys.argv[1:]
+    if len(args) != 3:
+        raise SystemExit("usage: python -m kestrel.jobs RAW_DIR WAREHOUSE_DIR RUN_DATE(yyyy-MM-dd)")
+    spark = build_session(app_name="kestrel-jobs")
+    for name, df in run_all(spark, args[0], args[1], args[2]).items():
+        print(f"== {name}")
+        df.show(20, truncate=False)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
