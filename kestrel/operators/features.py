@@ -45,19 +45,24 @@ def top_terms(weights: DataFrame, doc: str, term: str, weight: str, k: int = 5)
     return weights.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
-def pca_2d(df: DataFrame, key: list[str], vec: str, k: int = 2, seed: int = 42) -> DataFrame:
+def pca_2d(df: DataFrame, key: list[str], vec: str, k: int = 2, min_rows: int = 3) -> DataFrame:
     """M2: centred principal-component scores (pca_x, pca_y) of an array column.
 
-    The fit runs in Spark ML (covariance by a distributed tree aggregate;
-    the d x k loadings come back to the driver, d = vector length). Scores
-    are computed as built-in array expressions: (x - mean) . pc_j. Each
-    component's sign is fixed so that its largest-magnitude loading is
-    positive, which makes the output repeatable.
+    Missing vector elements count as 0. With fewer than ``min_rows`` rows the
+    scores are null (no meaningful components). The fit runs in Spark ML
+    (covariance by a distributed tree aggregate; the d x k loadings come back
+    to the driver, d = vector length). Scores are built-in array expressions:
+    (x - mean) . pc_j. Each component's sign is fixed so that its
+    largest-magnitude loading is positive, which makes the output repeatable
+    (the decomposition itself has no random seed).
     """
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector
 
-    vectors = df.select(*key, F.transform(vec, lambda x: x.cast("double")).alias("_a"))
+    names = ["pca_x", "pca_y"] + [f"pca_{j}" for j in range(2, k)]
+    vectors = df.select(*key, F.transform(vec, lambda x: F.coalesce(x.cast("double"), F.lit(0.0))).alias("_a"))
+    if vectors.limit(min_rows).count() < min_rows:      # reads at most min_rows rows
+        return vectors.select(*key, *[F.lit(None).cast("double").alias(n) for n in names])
     model = PCA(k=k, inputCol="_v", outputCol="_p").fit(vectors.select(array_to_vector("_a").alias("_v")))
     pc = model.pc.toArray()  # d x k, bounded by the vector length
     comps = []
@@ -66,7 +71,6 @@ def pca_2d(df: DataFrame, key: list[str], vec: str, k: int = 2, seed: int = 42)
         sign = 1.0 if col[abs(col).argmax()] >= 0 else -1.0
         comps.append([float(sign * c) for c in col])
     # (x - mean) . pc = x . pc - mean(x . pc): project first, then centre with one scalar subquery
-    names = ["pca_x", "pca_y"] + [f"pca_{j}" for j in range(2, k)]
     dots = [F.aggregate(F.zip_with("_a", F.array(*[F.lit(c) for c in comps[j]]), lambda x, c: x * c),
                         F.lit(0.0), lambda acc, x: acc + x).alias(f"_d{j}") for j in range(k)]
     proj = vectors.select(*key, *dots)

@@ -309,3 +309,16 @@ def test_pooled_vectors_watermark_value_and_sizing(spark):
     from kestrel.session import suggested_conf
     conf = suggested_conf(100 * 2**40, cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20) + 1
+
+
+def test_pca_nulls_and_too_few_rows(spark):
+    df = spark.createDataFrame([(1, [1.0, None, 3.0]), (2, [2.0, 1.0, None])], "id long, v array<double>")
+    out = features.pca_2d(df, ["id"], "v").collect()
+    assert all(r.pca_x is None and r.pca_y is None for r in out)
+    df3 = df.unionByName(spark.createDataFrame([(3, [0.0, 2.0, 1.0])], df.schema))
+    got = {r.id: r.pca_x for r in features.pca_2d(df3, ["id"], "v").collect()}
+    x = np.array([[1.0, 0.0, 3.0], [2.0, 1.0, 0.0], [0.0, 2.0, 1.0]])
+    xc = x - x.mean(axis=0)
+    comp = np.linalg.svd(xc)[2][0]
+    comp = comp * (1 if comp[np.abs(comp).argmax()] >= 0 else -1)
+    assert np.allclose([got[i] for i in (1, 2, 3)], xc @ comp, atol=1e-9)
