@@ -43,13 +43,20 @@ def unify_dates(c: Column | str) -> Column:
     return F.coalesce(*candidates)
 
 
-def date_parts(d: Column | str) -> dict[str, Column]:
-    """Calendar attributes of a DATE (names unpadded, English)."""
+def date_parts(d: Column | str, pad_names: bool = False) -> dict[str, Column]:
+    """Calendar attributes of a DATE (English names).
+
+    Names are unpadded by default; ``pad_names`` pads them with blanks to 9
+    characters, as PostgreSQL's TO_CHAR 'Month' / 'Day' print them.
+    """
     d = _col(d)
+    month_name, day_name = F.date_format(d, "MMMM"), F.date_format(d, "EEEE")
+    if pad_names:
+        month_name, day_name = F.rpad(month_name, 9, " "), F.rpad(day_name, 9, " ")
     return {
         "year": F.year(d),
         "month": F.month(d),
-        "month_name": F.date_format(d, "MMMM"),
+        "month_name": month_name,
         "quarter": F.quarter(d),
-        "day_of_week": F.date_format(d, "EEEE"),
+        "day_of_week": day_name,
     }

@@ -322,3 +322,10 @@ def test_pca_nulls_and_too_few_rows(spark):
     comp = np.linalg.svd(xc)[2][0]
     comp = comp * (1 if comp[np.abs(comp).argmax()] >= 0 else -1)
     assert np.allclose([got[i] for i in (1, 2, 3)], xc @ comp, atol=1e-9)
+
+
+def test_padded_calendar_names(spark):
+    from kestrel.functions.dates import date_parts
+    parts = date_parts(F.lit("2024-05-01").cast("date"), pad_names=True)
+    r = spark.range(1).select(parts["month_name"].alias("m"), parts["day_of_week"].alias("d")).first()
+    assert (r.m, r.d) == ("May      ", "Wednesday")
