@@ -56,9 +56,24 @@ def norm_name(c: Column | str) -> Column:
     return F.coalesce(F.lower(py_strip(c)), F.lit(""))
 
 
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+STOPWORD_SQL_LIST = ", ".join(_sql_string(w) for w in STOPWORDS)
+
+
 def clean_tokens(c: Column | str) -> Column:
-    """H3/H4: lower, letters-only tokens longer than two characters, no stop-words."""
-    tokens = F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN_PATTERN), 0)
+    """H3/H4: lower, letters-only tokens longer than two characters, no stop-words.
+
+    The stop-word test is ``NOT t IN (...)``, which the optimizer turns into a
+    hash-set lookup. For a column name the whole expression is one SQL
+    expression (built in one call instead of one call per stop-word).
+    """
+    if isinstance(c, str):
+        return F.expr(f"filter(regexp_extract_all(lower(`{c}`), '{TOKEN_PATTERN}', 0), "
+                      f"t -> NOT t IN ({STOPWORD_SQL_LIST}))")
+    tokens = F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
     return F.filter(tokens, lambda t: ~t.isin(STOPWORDS))
 
 
