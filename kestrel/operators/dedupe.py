@@ -5,8 +5,8 @@ inside one task:
 
 * ``first_per_key`` is an aggregation (``min_by``), so each map task reduces
   its share of a hot key to one row before the shuffle.
-* ``first_n_per_group`` keeps the first n per (group, salt) first, then the
-  first n of those n * salts survivors per group.
+* ``first_n_per_group`` relies on Spark's partial window group limit (at
+  most n rows per group leave each map task), salting beyond its threshold.
 * ``previous_in_key`` (lag) cuts each key into order ranges, takes the lag
   inside each range, and patches the first row of a range from the last row
   of the range before it (a small per-range summary).
@@ -37,21 +37,32 @@ def first_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]
     return picked.select(*[F.col(c) for c in keys], *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
 
 
+WINDOW_GROUP_LIMIT_MAX = 1000   # Spark's default spark.sql.optimizer.windowGroupLimitThreshold
+
+
 def first_n_per_group(df: DataFrame, group: Sequence[str] | str, order: Sequence[str] | str, n: int,
                       salt_buckets: int = 16, rank_col: str | None = None) -> DataFrame:
     """The first ``n`` rows of each group by ``order`` (ties by the order columns only).
 
-    Phase 1 ranks inside (group, salt) buckets, so a hot group is spread over
-    ``salt_buckets`` tasks; phase 2 ranks the at most n * salt_buckets
+    For ``n`` within Spark's window group-limit threshold this is the plain
+    ``row_number() <= n`` filter: Catalyst plans a *partial* WindowGroupLimit
+    before the shuffle, so each map task sends at most ``n`` rows of a hot
+    group. Beyond the threshold the same bound comes from salting: rank inside
+    (group, salt) buckets first, then rank the at most n * salt_buckets
     survivors of each group.
     """
     groups, order_cols = _cols(group), _cols(order)
-    salt = F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % salt_buckets
-    w1 = Window.partitionBy(*groups, "_salt").orderBy(*order_cols)
-    stage1 = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n)
-    w2 = Window.partitionBy(*groups).orderBy(*order_cols, "_salt", "_r")
-    out = stage1.withColumn("_rank", F.row_number().over(w2)).filter(F.col("_rank") <= n)
     cols = [F.col(c) for c in df.columns]
+    if n <= min(WINDOW_GROUP_LIMIT_MAX, int(df.sparkSession.conf.get(
+            "spark.sql.optimizer.windowGroupLimitThreshold", str(WINDOW_GROUP_LIMIT_MAX)))):
+        w = Window.partitionBy(*groups).orderBy(*order_cols)
+        out = df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n)
+    else:
+        salt = F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % salt_buckets
+        w1 = Window.partitionBy(*groups, "_salt").orderBy(*order_cols)
+        stage1 = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n)
+        w2 = Window.partitionBy(*groups).orderBy(*order_cols, "_salt", "_r")
+        out = stage1.withColumn("_rank", F.row_number().over(w2)).filter(F.col("_rank") <= n)
     if rank_col:
         cols.append(F.col("_rank").cast("long").alias(rank_col))
     return out.select(*cols)

@@ -30,9 +30,11 @@ def test_first_per_key_reduces_before_the_shuffle(spark):
 
 
 def test_top_n_is_salted_and_lag_is_bucketed(spark):
-    df = spark.range(100).select(F.lit("g").alias("g"), F.col("id"))
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id"))
     plan = plan_of(dedupe.first_n_per_group(df, "g", ["id"], 3))
-    assert "_salt" in plan.split("Window")[-1]                 # first (lowest) window partitions by (group, salt)
+    assert "WindowGroupLimit" in plan and "Partial" in plan.split("Exchange")[-1]   # pre-limited before the shuffle
+    big = plan_of(dedupe.first_n_per_group(df, "g", ["id"], 5000))
+    assert "_salt" in big.split("Window")[-1]                   # beyond the threshold: (group, salt) first
     keyed = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id"))
     lag = plan_of(dedupe.previous_in_key(keyed, "k", "id", "id", "p", "h"))
     window_specs = [line for line in lag.splitlines() if "windowspecdefinition" in line]

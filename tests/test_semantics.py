@@ -47,6 +47,9 @@ def test_first_n_per_group_hot_group(spark):
     out = dedupe.first_n_per_group(hot.unionByName(cold), "g", ["id"], 3, salt_buckets=8, rank_col="rank")
     assert rows(out, "g", "id", "rank") == [("cold", 0, 1), ("cold", 1, 2), ("cold", 2, 3),
                                             ("hot", 0, 1), ("hot", 1, 2), ("hot", 2, 3)]
+    salted = dedupe.first_n_per_group(hot.unionByName(cold), "g", ["id"], 1500, salt_buckets=8, rank_col="rank")
+    assert salted.filter("g = 'hot'").count() == 1500 and salted.filter("g = 'cold'").count() == 5
+    assert rows(salted.filter("g = 'hot' AND rank <= 2"), "id", "rank") == [(0, 1), (1, 2)]
 
 
 def test_previous_in_key_bucketed_equals_lag(spark):
