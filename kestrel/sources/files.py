@@ -44,6 +44,10 @@ def read_abstracts(spark: SparkSession, directory: str, pattern: str = ABSTRACT_
              .select("value", F.col("_metadata.file_name").alias("_file")))
     arts = files.select("_file", F.explode(F.regexp_extract_all(
         "value", F.lit(r"(?s)<PubmedArticle\b.*?</PubmedArticle>"), 0)).alias("_article"))
+    # an '&' that does not start an XML entity (an HTML entity, a bare ampersand) would make
+    # the article unparseable and fail the job: escape it, keeping the text literally
+    arts = arts.withColumn("_article", F.regexp_replace(
+        "_article", r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)", "&amp;"))
     return arts.select(
         F.nullif(F.xpath_string("_article", F.lit("(//PMID)[1]")), F.lit("")).alias("pmid"),
         F.coalesce(F.xpath_string("_article", F.lit("(//AbstractText)[1]")), F.lit("")).alias("abstract"),

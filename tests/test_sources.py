@@ -35,10 +35,14 @@ def test_abstracts_xml_first_pmid_first_abstract(spark, scratch):
            "</PubmedArticle>"
            "</PubmedArticleSet>")
     _write(os.path.join(d, "pubmed_azelaic_acid.xml"), xml)
+    _write(os.path.join(d, "pubmed_kojic_acid.xml"),
+           "<PubmedArticleSet><PubmedArticle><PMID>31</PMID><AbstractText>A &amp; B &nbsp;C & D &#233;"
+           "</AbstractText></PubmedArticle></PubmedArticleSet>")
     _write(os.path.join(d, "notes.txt"), "<PubmedArticle><PMID>5</PMID></PubmedArticle>")
     rows = files.read_abstracts(spark, d).collect()
-    assert len(rows) == 2
+    assert len(rows) == 3
     by = {r.pmid: r for r in rows}
+    assert by["31"].abstract == "A & B &nbsp;C & D é"          # malformed entities kept as text, no failure
     assert by["11"].abstract == "Skin barrier repair"
     assert by["11"].ingredient_term == "azelaic acid"
     assert by[None].abstract == ""
