@@ -34,6 +34,23 @@ def q_tfidf_top_terms(spark, sf_dir):
     return features.top_terms(weights, "pmid", "term", "tfidf", 5).select("pmid", "rank", "term", "tfidf")
 
 
+TFIDF_CTES = {**ABSTRACT_FEATURE_CTES,
+              "tf": "SELECT pmid, term, count(*) AS tf FROM (SELECT pmid, unnest(toks) AS term FROM abs_tok) GROUP BY 1, 2",
+              "vocab": """SELECT term, df FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1)
+                          WHERE df >= 2 ORDER BY total DESC, term LIMIT 2000"""}
+
+
+@query("tfidf_weights", with_views(
+    """SELECT pmid, term, w / sqrt(sum(w * w) OVER (PARTITION BY pmid)) AS tfidf FROM (
+         SELECT tf.pmid, tf.term, tf.tf * (ln((1 + (SELECT count(*) FROM abs_tok)) / (1 + v.df)) + 1) AS w
+         FROM tf JOIN vocab v ON v.term = tf.term)""", "abstracts_v", extra=TFIDF_CTES))
+def q_tfidf_weights(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    toks = abstract_tokens(v.abstracts()).select("pmid", F.col("token").alias("term"))
+    n_docs = abstracts_processed_df(v).select(F.count(F.lit(1))).scalar()
+    return features.tfidf(toks, "pmid", "term", n_docs)
+
+
 @query("pca_2d")
 def q_pca_2d(spark, sf_dir):
     emb = Views(spark, sf_dir).table("embeddings", ["vec_id", "embedding", "label"])
