@@ -88,9 +88,9 @@ def abstract_features(abstracts: DataFrame) -> DataFrame:
 
 
 def abstract_tokens(abstracts: DataFrame) -> DataFrame:
-    """Token rows (pmid, ingredient_term, pos, token) of the non-blank abstracts."""
+    """Token rows (pmid, ingredient_term, token) of the non-blank abstracts, repeats kept."""
     df = drop_blank(abstracts, "abstract")
-    return df.select("pmid", "ingredient_term", F.posexplode(clean_tokens("abstract")).alias("pos", "token"))
+    return df.select("pmid", "ingredient_term", F.explode(clean_tokens("abstract")).alias("token"))
 
 
 def choose_modified(primary: str, fallback: str):
