@@ -78,11 +78,11 @@ def previous_in_key(df: DataFrame, key: str, order: str, value: str, out: str,
     last value of the nearest earlier range. ``has_prev_out`` tells a first
     row (no previous) from a previous row whose value is null.
     """
-    b = df.withColumn("_b", F.floor(F.col(order) / F.lit(bucket_width)))
+    ranged = df.withColumn("_b", F.floor(F.col(order) / F.lit(bucket_width)))
     w = Window.partitionBy(key, "_b").orderBy(order)
-    b = b.withColumn("_lag", F.lag(F.struct(F.col(value).alias("v"))).over(w))
-    # last value of each (key, range); then the range before, over the small summary
-    last = b.groupBy(key, "_b").agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(order)).alias("_last"))
+    b = ranged.withColumn("_lag", F.lag(F.struct(F.col(value).alias("v"))).over(w))
+    # last value of each (key, range), reduced map-side; then the range before, over that small summary
+    last = ranged.groupBy(key, "_b").agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(order)).alias("_last"))
     wb = Window.partitionBy(key).orderBy("_b")
     carry = last.select(key, "_b", F.lag("_last").over(wb).alias("_carry"))
     j = b.join(carry, [key, "_b"], "left")
