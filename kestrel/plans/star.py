@@ -129,10 +129,11 @@ def products_staging(labels: DataFrame, risk: DataFrame, target: DataFrame | Non
                          F.col("label_text").alias("ingredients_text"), F.col("product_code").alias("_ord")) \
                  .join(risk.select(F.col("product_code").cast("string").alias("product_code"), "risk_score"),
                        "product_code", "left")
-    if target is None:
-        target = rows.sparkSession.createDataFrame(
-            [], "product_code string, category string, ingredients_text string, risk_score double")
+    from ..operators.dedupe import first_per_key
     from ..operators.load import insert_if_absent
+    if target is None:   # inserting into an empty table keeps the first row of each code
+        cols = ["product_code", "category", "ingredients_text", "risk_score"]
+        return first_per_key(rows.dropna(subset=["product_code"]), "product_code", ["_ord"]).select(*cols)
     return insert_if_absent(target, rows, "product_code", ["_ord"])
 
 
