@@ -107,6 +107,26 @@ def read_product_pages(spark: SparkSession, directory: str, pattern: str = PAGE_
                         F.col("record_pos").cast("long").alias("record_pos"))
 
 
+def read_watermark_file(spark: SparkSession, path: str) -> DataFrame:
+    """The extractor's per-term watermark file (a JSON map term -> 'yyyy-MM-dd') as rows
+    (source_name, last_value, since).
+
+    Spark's and Hadoop's file inputs hide '_'-prefixed files even when named,
+    and the file is a small map with one entry per ingredient term, so it is
+    parsed on the driver; the engine's own watermarks live in the published
+    ``etl_watermarks`` table. ``since`` is the typed date, null when the text is
+    not a date.
+    """
+    import json
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+    with open(local, encoding="utf-8") as fh:
+        mapping = json.load(fh)
+    pairs = spark.createDataFrame([(str(k), None if v is None else str(v)) for k, v in mapping.items()],
+                                  "source_name string, last_value string")
+    return pairs.withColumn("since", F.try_to_date("last_value", "yyyy-MM-dd"))
+
+
 VIDEO_MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in
                                ["video_id", "title", "published_at", "query", "has_caption", "caption_path"]])
 PODCAST_MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in

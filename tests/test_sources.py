@@ -94,3 +94,20 @@ def test_media_manifests(spark, scratch):
     df = files.read_media_manifest(spark, p, files.PODCAST_MANIFEST, "download_ok", "published")
     ts = sorted(str(r.published_ts) for r in df.collect())
     assert ts[0].startswith("2026-06-09 05:00:00") and ts[1].startswith("2026-06-17 05:00:00")
+
+
+def test_watermark_file_drives_replay_windows(spark, scratch):
+    from pyspark.sql import functions as F
+    from kestrel.operators import windows
+    p = os.path.join(scratch, "structured", "_openfda_watermark.json")
+    _write(p, json.dumps({"retinol": "2024-08-24", "arbutin": "2021-06-17", "bad": "soon"}))
+    wm = files.read_watermark_file(spark, p)
+    got = {r.source_name: (r.last_value, str(r.since) if r.since else None) for r in wm.collect()}
+    assert got == {"retinol": ("2024-08-24", "2024-08-24"), "arbutin": ("2021-06-17", "2021-06-17"),
+                   "bad": ("soon", None)}
+    plan = windows.date_windows(
+        wm.withColumn("since", windows.window_start_rule(F.col("source_name"), F.col("since"),
+                                                         F.lit("2025-01-01").cast("date"), ())),
+        "source_name", "since", "2025-01-01")
+    counts = {r.source_name: r.n for r in plan.groupBy("source_name").agg(F.count("*").alias("n")).collect()}
+    assert counts["retinol"] == 2 and counts["arbutin"] == 15 and counts["bad"] > 400   # 'bad' replays from 1900
