@@ -68,9 +68,11 @@ def with_landing_order(df: DataFrame, out: str = "seq") -> DataFrame:
 
 def load_registry(wh: Warehouse, csv_path: str, synonyms: DataFrame) -> None:
     """Registry CSV -> cleaned, standardised, first row per standard name -> full load."""
-    # a multi-line CSV file is read whole by one task, so this id follows the file's row order
-    reg = files.read_registry(wh.spark, csv_path).withColumn("_pos", F.monotonically_increasing_id())
-    cleaned = clean.clean_registry(reg, synonyms, order="_pos").drop("_pos")
+    # a multi-line CSV file is read whole by one task, so the id follows the file's row order;
+    # with several files the file name orders first
+    reg = files.read_registry(wh.spark, csv_path).withColumns({
+        "_order": F.struct(F.col("_metadata.file_name"), F.monotonically_increasing_id())})
+    cleaned = clean.clean_registry(reg, synonyms, order="_order").drop("_order")
     wh.publish(publish.full_load_frame(cleaned, "inci_name"), "cosing_staging", rules="cosing_staging")
 
 
