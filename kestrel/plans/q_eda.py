@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from ..operators import dedupe, eda
-from .fixtures import Views
+from ..operators import clean, dedupe, eda
+from .fixtures import AS_OF, Views
 from .oracle_views import sql_strip, with_views
 from .q_scoring import (
     ABSTRACT_FEATURE_CTES, REG_CLEAN_CTES, abstracts_processed_df, registry_clean_df, reports_clean_df,
@@ -25,8 +25,7 @@ QUALIFY row_number() OVER (PARTITION BY safetyreportid ORDER BY seq) = 1""",
 
 
 def abstract_token_rows(v: Views):
-    from ..operators.clean import abstract_tokens
-    return abstract_tokens(v.abstracts())
+    return clean.abstract_tokens(v.abstracts())
 
 
 @query("top_keywords", with_views(
@@ -77,11 +76,9 @@ def q_null_counts(spark, sf_dir):
     extra={"reg_n": REG_CLEAN_CTES["reg_n"], "reg_std": REG_CLEAN_CTES["reg_std"],
            "rep_parsed": REPORTS_CLEAN_CTES["rep_parsed"]}))
 def q_dup_counts(spark, sf_dir):
-    from ..operators.clean import fill_defaults, plausible_dates, standardise
-    from .fixtures import AS_OF
     v = Views(spark, sf_dir)
-    reg = standardise(fill_defaults(v.registry()), "inci_name", v.synonyms(), "inci_name_std")
-    reps = plausible_dates(v.reports(), "receivedate", AS_OF, "receivedate_parsed")
+    reg = clean.standardise(clean.fill_defaults(v.registry()), "inci_name", v.synonyms(), "inci_name_std")
+    reps = clean.plausible_dates(v.reports(), "receivedate", AS_OF, "receivedate_parsed")
     return eda.dup_counts(reg, "inci_name_std", "cosing").unionByName(
         eda.dup_counts(reps, "safetyreportid", "openfda"))
 

@@ -57,7 +57,8 @@ def stream_cdc(spark: SparkSession, source_dir: str, schema, table_path: str, ch
 
     Idempotent by batch id: the publish marker records the batch; a replayed
     batch (the stream died after publishing, before checkpointing) is
-    skipped, so no change is applied twice.
+    skipped, so no change is applied twice. Each version is validated with
+    the adverse-events rules before it is written.
     """
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
@@ -67,7 +68,7 @@ def stream_cdc(spark: SparkSession, source_dir: str, schema, table_path: str, ch
         stored = publish.read_current(spark, table_path)
         classified = cdc.cdc_classify(stored, batch)
         nxt = _typed_store(cdc.cdc_apply(stored, classified))
-        if not publish.atomic_publish(nxt, table_path, batch_id=batch_id):
+        if not publish.atomic_publish(nxt, table_path, table="adverse_events", batch_id=batch_id):
             raise RuntimeError(f"publish of batch {batch_id} failed; the batch will be retried")
 
     df = landing_stream(spark, source_dir, schema, fmt, max_files_per_trigger)
