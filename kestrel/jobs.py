@@ -44,8 +44,9 @@ class Warehouse:
     def read_or_empty(self, table: str, schema: str) -> DataFrame:
         return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema)
 
-    def publish(self, df: DataFrame, table: str, rules: str | None = None) -> None:
-        if not publish.atomic_publish(df, self.path(table), table=rules):
+    def publish(self, df: DataFrame, table: str, rules: str | None = None,
+                partition_by: list[str] | None = None) -> None:
+        if not publish.atomic_publish(df, self.path(table), table=rules, partition_by=partition_by):
             raise RuntimeError(f"publishing {table} failed; the table is unchanged")
 
     def watermarks(self) -> DataFrame:
@@ -101,14 +102,23 @@ def load_reports(wh: Warehouse, structured_dir: str, as_of: str) -> DataFrame:
     stored = wh.read_or_empty("adverse_events", EVENTS_SCHEMA)
     classified = cdc.cdc_classify(stored, batch.select("seq", "safetyreportid", "ingredient_term", "receivedate",
                                                        "receiptdate", "raw_payload"))
+    # partitioned by date, so date-range reads (backfills, windows) prune whole folders
     wh.publish(cdc.cdc_apply(stored, classified, payload="raw_payload").drop("last_change_seq"),
-               "adverse_events", rules="adverse_events")
+               "adverse_events", rules="adverse_events", partition_by=["receivedate"])
     wm = load.max_date_watermark(wh.read("adverse_events").withColumn("_src", F.lit("openfda")),
                                  "_src", "receivedate")
     wh.set_watermarks(wm)
     return cdc.cdc_counts(classified)
 
 
+def backfill_events(wh: Warehouse, from_date: str, to_date: str, table: str = "adverse_events_backfill") -> DataFrame:
+    """B1 over the published events: the date range (both ends midnight, inclusive) republished as its own
+    table. The range filter reaches the scan as a partition filter on ``receivedate``."""
+    window = cdc.backfill(wh.read("adverse_events"), "receivedate", from_date, to_date).drop("backfill_ts")
+    wh.publish(window, table, rules="adverse_events")
+    return wh.read(table)
+
+
 def load_product_pages(wh: Warehouse, structured_dir: str) -> None:
     """Product pages -> one document per key (the code, else a hash of the document); the last wins."""
     pages = with_landing_order(files.read_product_pages(wh.spark, structured_dir))

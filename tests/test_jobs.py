@@ -89,3 +89,11 @@ def test_run_all_and_rerun(spark, scratch):
     assert again == {"100": "2024-01-02", "101": "2024-01-05", "200": "2024-01-04"}
     wm = {r.source_name: r.last_value for r in wh.read("etl_watermarks").collect()}
     assert wm == {"pubmed": "21", "openfda": "2024-01-05"}
+
+    # backfill of a date range reads only the matching date folders
+    from kestrel.operators import cdc
+    window = cdc.backfill(wh.read("adverse_events"), "receivedate", "2024-01-02", "2024-01-04")
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(receivedate" in plan
+    assert sorted(r.safetyreportid for r in jobs.backfill_events(wh, "2024-01-02", "2024-01-04").collect()) == \
+        ["100", "200"]
