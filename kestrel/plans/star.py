@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import DIM_SOURCE_ROWS, FLAGGED_STATUSES
+from ..functions.constants import DIM_SOURCE_ROWS
 from ..functions.dates import date_parts
 from ..functions.numeric import risk_weight
 from ..operators import clean, keys, scoring
@@ -201,5 +201,4 @@ __all__ = [
     "dim_date", "dim_date_range", "dim_source", "dim_ingredient", "dim_product", "dim_reporter",
     "ingredient_key_by_ref", "fact_safety_event", "fact_ingredient_evidence", "fact_product_risk",
     "products_staging", "q1_events_by_ingredient_year", "q2_high_risk_products", "q3_drill_across", "q3_as_written",
-    "FLAGGED_STATUSES",
 ]
