@@ -203,10 +203,12 @@ def build_star(wh: Warehouse, synonyms: DataFrame, run_date: str) -> None:
 
 
 def olap(wh: Warehouse) -> dict[str, DataFrame]:
-    """Q1-Q3 over the published star schema (Q3 in both forms)."""
+    """Rows per staging table, then Q1-Q3 over the published star schema (Q3 in both forms)."""
     ing, dt = wh.read("dim_ingredient"), wh.read("dim_date")
     events, evidence = wh.read("fact_safety_event"), wh.read("fact_ingredient_evidence")
+    staged = ("cosing_staging", "pubmed_evidence", "adverse_events", "products", "etl_watermarks")
     return {
+        "table_row_counts": eda.table_row_counts({t: wh.read(t) for t in staged if wh.exists(t)}),
         "q1_events_by_ingredient_year": star.q1_events_by_ingredient_year(events, ing, dt),
         "q2_high_risk_products": star.q2_high_risk_products(wh.read("fact_product_risk"), wh.read("dim_product")),
         "q3_drill_across": star.q3_drill_across(ing, events, evidence),

@@ -67,6 +67,9 @@ def test_run_all_and_rerun(spark, scratch):
     assert prods["p1"].ingredients_text == "Aqua, Retinol"           # the later page replaced the document
     assert abs(prods["p2"].risk_score - 1.0) < 1e-12                 # banned twice
     assert len(prods) == 3 and [k for k in prods if k not in ("p1", "p2")][0].__len__() == 64  # sha-256 key
+    counts = {r.table_name: r.n_rows for r in answers["table_row_counts"].collect()}
+    assert counts == {"cosing_staging": 4, "pubmed_evidence": 3, "adverse_events": 3, "products": 3,
+                      "etl_watermarks": 2}
     q1 = {(r.inci_name_std, r.year): r.events for r in answers["q1_events_by_ingredient_year"].collect()}
     assert q1 == {("retinol", 2024): 2, ("ascorbic acid", 2024): 1}
     q3 = {r.inci_name_std: r.total_adverse_events for r in answers["q3_drill_across"].collect()}
