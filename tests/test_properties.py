@@ -134,3 +134,53 @@ def test_dedupe_family_matches_python(spark, rows, existing):
         if k is not None and k not in want:
             want[k] = ov
     assert merged == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 3000), min_size=1, max_size=300))
+def test_histogram_matches_numpy(spark, values):
+    import numpy as np
+
+    from kestrel.operators import eda
+
+    counts, edges = np.histogram(np.array(values, dtype=float), bins=40)
+    df = spark.createDataFrame([(v,) for v in values], "x long")
+    out = eda.length_histogram(df, "x").orderBy("bin").collect()
+    assert [r.n for r in out] == counts.tolist()
+    assert np.allclose([r.bin_lo for r in out], edges[:-1]) and np.allclose([r.bin_hi for r in out], edges[1:])
+
+
+names = st.sampled_from(["aqua", "Retinol", " retinol ", "vitamin c", "ascorbic acid", "hydroquinone", "x\ty"])
+statuses = st.sampled_from(["banned", "restricted", "allowed", "unknown", "Restricted", "see annex", None])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(names, statuses), min_size=1, max_size=8),
+       st.lists(st.one_of(st.none(), st.lists(names, max_size=5).map(lambda t: ", ".join(t))), min_size=1,
+                max_size=12))
+def test_product_risk_matches_python(spark, registry_rows, labels):
+    from kestrel.functions.constants import DEFAULT_RISK_WEIGHT, RISK_WEIGHTS, SYNONYMS
+    from kestrel.operators import clean, scoring
+
+    def std(n):
+        n = n.strip().lower()
+        return SYNONYMS.get(n, n)
+
+    lookup = {}
+    for name, status in registry_rows:                      # first row per standard name, status filled
+        lookup.setdefault(std(name), status if status is not None else "unknown")
+    want = {}
+    for code, label in enumerate(labels):
+        toks = [std(t) for t in (label or "").replace("\n", ",").split(",") if t.strip()]
+        ws = [RISK_WEIGHTS.get(lookup.get(t, "unknown"), DEFAULT_RISK_WEIGHT) for t in toks]
+        want[code] = (sum(ws) / len(ws) if ws else None, len(ws))
+    reg = spark.createDataFrame([(i, n, "f", s) for i, (n, s) in enumerate(registry_rows)],
+                                "cosing_ref_no long, inci_name string, function string, regulatory_status string")
+    lab = spark.createDataFrame(list(enumerate(labels)), "product_code long, label_text string")
+    syn = clean.synonym_table(spark)
+    got = {r.product_code: (r.risk_score, r.total_ingredients)
+           for r in scoring.product_risk(lab, clean.clean_registry(reg, syn), syn).collect()}
+    assert set(got) == set(want)
+    for code, (score, n) in want.items():
+        assert got[code][1] == n
+        assert (got[code][0] is None and score is None) or abs(got[code][0] - score) < 1e-12
