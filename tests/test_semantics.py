@@ -332,3 +332,34 @@ def test_padded_calendar_names(spark):
     parts = date_parts(F.lit("2024-05-01").cast("date"), pad_names=True)
     r = spark.range(1).select(parts["month_name"].alias("m"), parts["day_of_week"].alias("d")).first()
     assert (r.m, r.d) == ("May      ", "Wednesday")
+
+
+def test_tfidf_matches_textbook_computation(spark):
+    """TF-IDF weights vs a plain-Python computation with the vectorizer defaults (smooth idf, l2 rows)."""
+    import collections
+    import re
+
+    from kestrel.functions.constants import STOPWORDS
+    from kestrel.operators.clean import abstract_tokens
+    from kestrel.plans.fixtures import Views
+
+    from .conftest import SF001
+    v = Views(spark, SF001)
+    docs = {r.pmid: r.abstract for r in v.abstracts().collect() if r.abstract.strip()}
+    stop = set(STOPWORDS)
+    toks = {d: [t for t in re.sub(r"[^a-zA-Z\s]", " ", a.lower()).split() if t not in stop and len(t) > 2]
+            for d, a in docs.items()}
+    df = collections.Counter(t for ts in toks.values() for t in set(ts))
+    total = collections.Counter(t for ts in toks.values() for t in ts)
+    vocab = sorted((t for t in df if df[t] >= 2), key=lambda t: (-total[t], t))[:2000]
+    n = len(docs)
+    want = {}
+    for d, ts in toks.items():
+        tf = collections.Counter(t for t in ts if t in set(vocab))
+        w = {t: c * (math.log((1 + n) / (1 + df[t])) + 1) for t, c in tf.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        want.update({(d, t): x / norm for t, x in w.items()})
+    tok_df = abstract_tokens(v.abstracts()).select("pmid", F.col("token").alias("term"))
+    got = {(r.pmid, r.term): r.tfidf for r in features.tfidf(tok_df, "pmid", "term", F.lit(n)).collect()}
+    assert set(got) == set(want)
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-12
