@@ -130,21 +130,28 @@ def watermark_value(watermarks: DataFrame, source: str, source_col: str = "sourc
     return watermarks.filter(F.col(source_col) == source).select(F.max(value_col)).scalar()
 
 
+KEY_WATERMARK_PREFIX = "batch_"
+
+
 def incremental_by_key(batch: DataFrame, watermarks: DataFrame, group: str, key: str,
-                       wm_group: str = "source_name", wm_value: str = "last_value") -> DataFrame:
-    """One watermark per group; keep numeric ids above their group's; groups without one keep all.
+                       wm_group: str = "source_name", wm_value: str = "last_value",
+                       prefix: str = KEY_WATERMARK_PREFIX) -> DataFrame:
+    """One watermark per group (named ``<prefix><group>`` in the watermark table); keep numeric ids
+    above their group's; groups without one keep all.
 
-    The watermark table has one row per group, so the join never fans out.
+    The watermark table has one row per name, so the join never fans out.
     """
-    wm = watermarks.select(F.col(wm_group).alias(group), F.col(wm_value).try_cast("long").alias("_wm"))
+    named = watermarks.filter(F.col(wm_group).startswith(prefix))
+    wm = named.select(F.expr(f"substring({wm_group}, {len(prefix) + 1})").alias(group),
+                      F.col(wm_value).try_cast("long").alias("_wm"))
     j = batch.join(wm, group, "left")
     n = numeric_id(key)
     return j.filter(n.isNotNull() & (F.col("_wm").isNull() | (n > F.col("_wm")))).drop("_wm")
 
 
-def next_key_watermarks(loaded: DataFrame, group: str, key: str) -> DataFrame:
-    """K10 update: each group's watermark moves to its largest loaded id."""
-    return loaded.groupBy(F.col(group).alias("source_name")).agg(
+def next_key_watermarks(loaded: DataFrame, group: str, key: str, prefix: str = KEY_WATERMARK_PREFIX) -> DataFrame:
+    """K10 update: each group's watermark (``<prefix><group>``) moves to its largest loaded id."""
+    return loaded.groupBy(F.concat(F.lit(prefix), F.col(group)).alias("source_name")).agg(
         F.max(numeric_id(key)).cast("string").alias("last_value"))
 
 

@@ -158,12 +158,15 @@ def test_load_strategies(spark):
     assert again.count() == out.count()                        # rerun adds nothing
     up = load.replace_upsert(target, batch.filter("id is not null").select("id", "v", "seq"), "id", "seq")
     assert rows(up, "id", "v") == [("1", "a"), ("2", "x"), ("3", "second")]
-    wm = spark.createDataFrame([("t1", "5")], "source_name string, last_value string")
+    wm = spark.createDataFrame([("batch_t1", "5"), ("t2", "9")], "source_name string, last_value string")
     ids = spark.createDataFrame([("t1", "4"), ("t1", "6"), ("t2", "1"), ("t2", "abc")], "term string, id string")
+    # only 'batch_<term>' rows are per-term watermarks; 't2' has none, so all its numeric ids pass
     assert rows(load.incremental_by_key(ids, wm, "term", "id"), "term", "id") == [("t1", "6"), ("t2", "1")]
+    assert rows(load.next_key_watermarks(ids, "term", "id"), "source_name", "last_value") == \
+        [("batch_t1", "6"), ("batch_t2", "1")]
     assert load.non_numeric_ids(ids, "id").count() == 1
     upd = spark.createDataFrame([("t1", "3")], "source_name string, last_value string")
-    both = wm.unionByName(spark.createDataFrame([("t9", "1")], wm.schema))
+    both = spark.createDataFrame([("t1", "5"), ("t9", "1")], "source_name string, last_value string")
     assert rows(load.set_watermarks(both, upd), "source_name", "last_value") == [("t1", "3"), ("t9", "1")]
 
 
