@@ -8,6 +8,8 @@ on the driver) and projects with built-in array expressions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,3 +103,62 @@ def rms_rows(df: DataFrame, key: str, vec: str) -> DataFrame:
     """H15 as rows: (key, pos, value) of the RMS-normalised array."""
     return df.select(key, F.posexplode(rms_normalise(vec)).alias("pos", "value")) \
              .select(key, F.col("pos").cast("long").alias("pos"), "value")
+
+
+def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
+              max_features: int = TFIDF_MAX_FEATURES, min_df: int = TFIDF_MIN_DF) -> DataFrame:
+    """M2 on text: centred PCA scores of the L2-normalised TF-IDF vectors of documents.
+
+    ``tokens_by_doc`` has one row per document with its token array. The
+    vocabulary (at most ``max_features`` terms with document counts) is
+    computed relationally. Per-document vectors are built by Spark ML (term
+    counts -> times idf -> L2 rows) and stay sparse; their d x d covariance
+    (d <= max_features) is a distributed aggregation and is the only matrix
+    that reaches the driver, where numpy decomposes it. Scores are relational:
+    the weights joined to the (broadcast, d-row) loadings and summed per
+    document, then centred; each component's largest loading is made positive.
+    """
+    import numpy as np
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+
+    spark = tokens_by_doc.sparkSession
+    exploded = tokens_by_doc.select(doc, F.explode(tokens).alias("_t"))
+    tf = exploded.groupBy(doc, "_t").agg(F.count(F.lit(1)).alias("_tf"))
+    stats = tf.groupBy("_t").agg(F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("_total"))
+    vocab = (stats.filter(F.col("_df") >= min_df).orderBy(F.desc("_total"), F.asc("_t"))
+             .limit(max_features).collect())                    # bounded by max_features
+    n_docs = tokens_by_doc.count()
+    names = ["pca_x", "pca_y"] + [f"pca_{j}" for j in range(2, k)]
+    if n_docs < 3 or len(vocab) < k:
+        return tokens_by_doc.select(doc, *[F.lit(None).cast("double").alias(n) for n in names])
+    terms = [r["_t"] for r in vocab]
+    idf = [math.log((1 + n_docs) / (1 + r["_df"])) + 1 for r in vocab]
+    counts = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens, outputCol="_cv")
+    weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_cv", outputCol="_w")
+    vectors = Normalizer(p=2.0, inputCol="_w", outputCol="_v").transform(
+        weighted.transform(counts.transform(tokens_by_doc.select(tokens)))).select("_v")
+    # the covariance makes several passes (count, column means, Gramian): keep the vectors for them
+    rows = MLUtils.convertVectorColumnsFromML(vectors, "_v").rdd.map(lambda r: r[0]).cache()
+    try:
+        cov = RowMatrix(rows, numRows=n_docs, numCols=len(terms)).computeCovariance().toArray()  # d x d
+    finally:
+        rows.unpersist()
+    _, eigvecs = np.linalg.eigh(cov)
+    comps = eigvecs[:, ::-1][:, :k]
+    comps = comps * np.where(comps[np.abs(comps).argmax(axis=0), range(k)] >= 0, 1.0, -1.0)
+    loadings = spark.createDataFrame(
+        [(t, *[float(comps[i, j]) for j in range(k)]) for i, t in enumerate(terms)],
+        ", ".join(["_t string"] + [f"_l{j} double" for j in range(k)]))
+    weights = tfidf(exploded.select(doc, F.col("_t").alias("_term")), doc, "_term", F.lit(n_docs),
+                    max_features, min_df).withColumnRenamed("_term", "_t")
+    dots = (weights.join(small_lookup(loadings), "_t")
+            .groupBy(doc).agg(*[F.sum(F.col("tfidf") * F.col(f"_l{j}")).alias(f"_d{j}") for j in range(k)]))
+    # documents without vocabulary terms are the zero vector: score 0 before centring
+    proj = tokens_by_doc.select(doc).join(dots, doc, "left").select(
+        doc, *[F.coalesce(f"_d{j}", F.lit(0.0)).alias(f"_d{j}") for j in range(k)])
+    means = proj.select(F.array(*[F.avg(f"_d{j}") for j in range(k)])).scalar()
+    proj = proj.withColumn("_means", means)
+    return proj.select(doc, *[(F.col(f"_d{j}") - F.col("_means")[j]).alias(names[j]) for j in range(k)])

@@ -57,6 +57,14 @@ def q_pca_2d(spark, sf_dir):
     return features.pca_2d(emb, ["vec_id", "label"], "embedding")
 
 
+@query("abstract_pca")
+def q_abstract_pca(spark, sf_dir):
+    from ..functions.text import clean_tokens
+    from ..operators.clean import drop_blank
+    docs = drop_blank(Views(spark, sf_dir).abstracts(), "abstract")
+    return features.tfidf_pca(docs.select("pmid", clean_tokens("abstract").alias("tokens")), "pmid", "tokens")
+
+
 @query("mean_pool", """
 SELECT label, CAST(pos - 1 AS BIGINT) AS pos, avg(CAST(x AS DOUBLE)) AS mean_value, count(*) AS n_frames
 FROM (SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS pos FROM embeddings)

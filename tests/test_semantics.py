@@ -366,3 +366,28 @@ def test_tfidf_matches_textbook_computation(spark):
     got = {(r.pmid, r.term): r.tfidf for r in features.tfidf(tok_df, "pmid", "term", F.lit(n)).collect()}
     assert set(got) == set(want)
     assert max(abs(got[k] - want[k]) for k in want) < 1e-12
+
+
+def test_text_pca_matches_numpy(spark):
+    """PCA of the TF-IDF rows vs numpy's SVD of the dense matrix built from the same weights."""
+    from kestrel.functions.text import clean_tokens as ct
+    from kestrel.operators.clean import drop_blank
+    from kestrel.plans.fixtures import Views
+
+    from .conftest import SF001
+    docs = drop_blank(Views(spark, SF001).abstracts(), "abstract").select("pmid", ct("abstract").alias("tokens"))
+    got = {r.pmid: (r.pca_x, r.pca_y) for r in features.tfidf_pca(docs, "pmid", "tokens").collect()}
+    n = docs.count()
+    toks = docs.select("pmid", F.explode("tokens").alias("term"))
+    w = features.tfidf(toks, "pmid", "term", F.lit(n)).collect()
+    pmids = sorted(got)
+    terms = sorted({r.term for r in w})
+    x = np.zeros((len(pmids), len(terms)))
+    pi, ti = {p: i for i, p in enumerate(pmids)}, {t: j for j, t in enumerate(terms)}
+    for r in w:
+        x[pi[r.pmid], ti[r.term]] = r.tfidf
+    xc = x - x.mean(axis=0)
+    vt = np.linalg.svd(xc, full_matrices=False)[2]
+    for j in range(2):
+        comp = vt[j] * (1 if vt[j][np.abs(vt[j]).argmax()] >= 0 else -1)
+        assert np.allclose([got[p][j] for p in pmids], xc @ comp, atol=1e-8)
