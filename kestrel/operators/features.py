@@ -34,8 +34,13 @@ def tfidf(tokens: DataFrame, doc: str, term: str, n_docs, max_features: int = TF
                .groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf"))
     stats = tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     vocab = stats.filter(F.col("df") >= min_df).orderBy(F.desc("total"), F.asc(term)).limit(max_features)
+    return tfidf_weights(tf, vocab.select(term, "df"), doc, term, n_docs)
+
+
+def tfidf_weights(tf: DataFrame, vocab: DataFrame, doc: str, term: str, n_docs) -> DataFrame:
+    """Weights from (doc, term, tf) and a vocabulary (term, df) capped at max_features rows (broadcast)."""
     idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
-    weighted = tf.join(small_lookup(vocab.select(term, "df")), term).select(doc, term, (F.col("tf") * idf).alias("w"))
+    weighted = tf.join(small_lookup(vocab), term).select(doc, term, (F.col("tf") * idf).alias("w"))
     # a document has at most max_features vocabulary rows, so this window is bounded per task
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
     return weighted.select(doc, term, (F.col("w") / norm).alias("tfidf"))
@@ -152,8 +157,8 @@ def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
     loadings = spark.createDataFrame(
         [(t, *[float(comps[i, j]) for j in range(k)]) for i, t in enumerate(terms)],
         ", ".join(["_t string"] + [f"_l{j} double" for j in range(k)]))
-    weights = tfidf(exploded.select(doc, F.col("_t").alias("_term")), doc, "_term", F.lit(n_docs),
-                    max_features, min_df).withColumnRenamed("_term", "_t")
+    vocab_df = spark.createDataFrame([(r["_t"], r["_df"]) for r in vocab], "_t string, df long")
+    weights = tfidf_weights(tf.withColumnRenamed("_tf", "tf"), vocab_df, doc, "_t", F.lit(n_docs))
     dots = (weights.join(small_lookup(loadings), "_t")
             .groupBy(doc).agg(*[F.sum(F.col("tfidf") * F.col(f"_l{j}")).alias(f"_d{j}") for j in range(k)]))
     # documents without vocabulary terms are the zero vector: score 0 before centring
