@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import TFIDF_MAX_FEATURES, TFIDF_MIN_DF
 from ..functions.numeric import rms_normalise
-from .keys import small_lookup
+from .keys import materialize, small_lookup
 
 
 def tfidf(tokens: DataFrame, doc: str, term: str, n_docs, max_features: int = TFIDF_MAX_FEATURES,
@@ -130,6 +130,8 @@ def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
     from pyspark.mllib.util import MLUtils
 
     spark = tokens_by_doc.sparkSession
+    # the vocabulary, the vectors, the weights and the centring all read the tokens: tokenise once
+    tokens_by_doc = materialize(tokens_by_doc.select(doc, tokens))
     exploded = tokens_by_doc.select(doc, F.explode(tokens).alias("_t"))
     tf = exploded.groupBy(doc, "_t").agg(F.count(F.lit(1)).alias("_tf"))
     stats = tf.groupBy("_t").agg(F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("_total"))
