@@ -86,6 +86,14 @@ def banded_distance(item: np.ndarray, text: np.ndarray, low: int, width: int, li
     return int(row[best]), best + low + len(item)
 
 
+def _diagonal_match(item: np.ndarray, text: np.ndarray, low: int, width: int) -> int:
+    """First diagonal of the band on which the whole item stands unchanged (an alignment without edits), or -1."""
+    for d in range(max(0, low), min(low + width, len(text) - len(item) + 1)):
+        if text[d] == item[0] and np.array_equal(text[d: d + len(item)], item):
+            return d
+    return -1
+
+
 class Index:
     """q-gram index of one block of distinct normalised items (a bounded block, broadcast to the tasks)."""
 
@@ -115,22 +123,32 @@ class Index:
             self.gram, first = np.unique(gram[order], return_index=True)
             self.first = np.append(first, len(gram))
             self.owner, self.pos = owner[order], pos[order]
-            self.bits = np.zeros(1 << 20, dtype=bool)
-            self.bits[self.gram >> np.uint64(44)] = True
+            self.bits = np.zeros(1 << 22, dtype=bool)
+            self.bits[self.gram >> np.uint64(42)] = True
+            # by size class (powers of two): hits that a leak has at least, and the length that holds them
+            kind = np.log2(n).astype(int)
+            self.classes = [(int(self.bound[kind == c].min()), int((n + self.budgets)[kind == c].max())) for c in np.unique(kind)]
+
+    def _dense(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Which positions lie in a stretch that begins with a hit and has as many hits as a leak of some size class."""
+        count = np.concatenate(([0], np.cumsum(np.bincount(at, minlength=n))))
+        edge = np.zeros(n + 1, dtype=np.int64)
+        for least, reach in self.classes:
+            stop = np.minimum(at + reach, n)
+            full = count[stop] - count[at] >= least
+            edge[at[full]] += 1  # positions are distinct, the stops are not
+            edge -= np.bincount(stop[full], minlength=n + 1)
+        return np.cumsum(edge)[at] > 0
 
     def search(self, points: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """Yield (document, item, start, end, edits) of the best alignment of each leaked item."""
         if not self.ids or len(points) < self.q:
             return
         g = qgrams(points, self.q)
-        maybe = np.flatnonzero(self.bits[g >> np.uint64(44)])
+        maybe = np.flatnonzero(self.bits[g >> np.uint64(42)])
         doc = np.searchsorted(starts, maybe, side="right") - 1
         maybe = maybe[maybe + self.q <= starts[doc + 1]]
-        # a leak holds at least the smallest bound of hits within the longest item and its edits
-        reach = int((self.size + self.budgets).max())
-        count = np.concatenate(([0], np.cumsum(np.bincount(maybe, minlength=len(points)))))
-        near = count[np.minimum(maybe + reach, len(points))] - count[np.maximum(maybe - reach, 0)]
-        maybe = maybe[near >= self.bound.min()]
+        maybe = maybe[self._dense(maybe, len(points))]
         slot = np.minimum(np.searchsorted(self.gram, g[maybe]), len(self.gram) - 1)
         hit = self.gram[slot] == g[maybe]
         maybe, slot = maybe[hit], slot[hit]
@@ -162,7 +180,13 @@ class Index:
             low = bb * (k + 1) - size - k
             text = points[starts[dd]: starts[dd + 1]]
             begin = max(0, low)
+            if (dd, ii) in found and found[dd, ii][2] == 0:
+                continue  # nothing is better than an exact copy
             piece = text[begin: max(begin, low + 2 * (k + 1) + 2 * k + size + 1)]
+            exact = _diagonal_match(self.points[ii], text, low + k, 2 * (k + 1))
+            if exact >= 0:
+                found[dd, ii] = (exact, exact + size, 0)
+                continue
             edits, end = banded_distance(self.points[ii], piece, low - begin, 2 * (k + 1) + 2 * k + 1, k)
             if edits <= k:
                 best = found.get((dd, ii))

@@ -18,7 +18,7 @@ from . import textvec as tv
 from .common import fresh, row_key, staged, text_of
 
 RADIUS = 28          # least distance of two cuts; chunks have 57 bytes on average
-MAX_CHUNK = 1024     # a longer stretch without a cut is split at this length
+MAX_CHUNK = 512      # a longer stretch without a cut repeats itself and is cut by its period, else at this length
 MIN_WORDS = 20       # words in whole repeated chunks that make a passage; a passage of 50 words holds more
 
 # gear table: one pseudo-random 16-bit value per byte
@@ -64,11 +64,30 @@ def cut_points(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     starts = np.concatenate(([0], ends[:-1]))
     long = np.flatnonzero(ends - starts > MAX_CHUNK)
     if len(long):
-        extra = [np.arange(starts[i] + MAX_CHUNK, ends[i], MAX_CHUNK) for i in long]
-        ends = np.unique(np.concatenate([ends, *extra]))
+        ends = np.unique(np.concatenate([ends, *(_periodic_cuts(h, starts[i], ends[i]) for i in long)]))
+        starts = np.concatenate(([0], ends[:-1]))
+        long = np.flatnonzero(ends - starts > MAX_CHUNK)
+        ends = np.unique(np.concatenate([ends, *(np.arange(starts[i] + MAX_CHUNK, ends[i], MAX_CHUNK) for i in long)]))
     return ends
 
 
+def _periodic_cuts(h: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Cuts after the greatest hash of a stretch, more than ``RADIUS`` apart.
+
+    A text that repeats a short unit has ties instead of strict maxima; its cuts
+    then depend on the unit, not on where the stretch begins.
+    """
+    inner = h[start + 15: end]
+    top = start + 15 + np.flatnonzero(inner == inner.max()) + 1
+    out, at = [], start - RADIUS
+    while True:
+        i = int(np.searchsorted(top, at + RADIUS, side="right"))
+        if i == len(top) or top[i] >= end:
+            return np.array(out, dtype=np.int64)
+        at = int(top[i])
+        out.append(at)
+
+
 def chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, rk, digest, start, size, words`` of every chunk (byte positions in the UTF-8 text)."""
 
