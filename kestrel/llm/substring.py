@@ -18,7 +18,7 @@ from . import textvec as tv
 from .common import fresh, row_key, staged, text_of
 
 RADIUS = 28          # least distance of two cuts; chunks have 57 bytes on average
-MAX_CHUNK = 512      # a longer stretch without a cut repeats itself and is cut by its period, else at this length
+MAX_CHUNK = 160      # a longer stretch without a cut repeats itself and is cut by its period, else at this length
 MIN_WORDS = 20       # words in whole repeated chunks that make a passage; a passage of 50 words holds more
 
 # gear table: one pseudo-random 16-bit value per byte
