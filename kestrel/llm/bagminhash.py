@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ SHINGLE_WORDS = 5
 COMPONENTS = 64
 BAND_ROWS = 4
 THRESHOLD = 0.8
+LEADERS = 4            # leaders of a one-band bucket by hash order, besides its smallest node
+SMALL_BUCKET = 16       # buckets of so many nodes at most compare all pairs between components
 MEMBERS_PER_TASK = 512  # members of one leader that are compared in one group
 
 
@@ -126,46 +129,47 @@ def multiset_overlap(a: np.ndarray, b: np.ndarray) -> float:
     return float(shared / (len(a) + len(b) - shared))
 
 
-def verify(docs: DataFrame, nodes: DataFrame, edges: DataFrame, id_col: str, text_col: str,
-           threshold: float = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
-    """Keep the edges (a, b) whose texts reach ``threshold``; adds the similarity.
+def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int = SHINGLE_WORDS) -> DataFrame:
+    """``node, hashes`` (sorted 32-bit shingle hashes with repeats) of the nodes of ``wanted`` (``node, d1, d2, rep_id``).
 
-    The text of a node meets the list of groups that it takes part in, its
-    shingles are hashed once, and one row per group goes to the group's leader
-    ``b``. A leader with many members is repeated for each group of about
-    ``MEMBERS_PER_TASK`` of them, so no group grows with the data.
+    The merge hint keeps one plan for every size: both sides are dealt by the
+    digest, however small the wanted nodes are.
     """
-    degree = edges.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_TASK).cast("int").alias("groups"))
-    member = (edges.join(degree, "b")
-              .select(F.col("a").alias("node"), F.col("b").alias("leader"),
-                      F.pmod(F.xxhash64("a"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("kind")))
-    leader = degree.select(F.col("b").alias("node"), F.col("b").alias("leader"),
-                           F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("kind"))
-    # the list of one node: at most one entry per band as a member, and one per MEMBERS_PER_TASK members as a leader
-    wanted = (member.unionByName(leader).groupBy("node")
-              .agg(F.collect_list(F.struct("leader", "part", "kind")).alias("roles")))
-    wanted = staged(wanted.join(nodes.select("node", "d1", "d2", "rep_id"), "node"), "roles")
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     src = src.select("id", "text", F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2"))
     cond = [src["d1"] == wanted["d1"], src["d2"] == wanted["d2"], src["id"].eqNullSafe(wanted["rep_id"])]
-    joined = src.join(wanted, cond).select("node", "text", "roles")
+    joined = src.hint("merge").join(wanted, cond).select("node", "text")
 
     def hashed(batches):
         for batch in batches:
             out = [b""] * batch.num_rows
             for a, b, data, off in tv.chunks(batch.column("text")):
                 doc, sh = tv.shingles(*tv.words(data, off), b - a, width)
-                order = np.lexsort((sh, doc))
-                sh = sh[order]
+                sh = (sh >> np.uint64(32)).astype(np.uint32)
+                sh = sh[np.lexsort((sh, doc))]
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
                 for i in range(b - a):
                     out[a + i] = sh[cut[i]: cut[i + 1]].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, type=pa.binary()), batch.column("roles")],
-                                             names=["node", "hashes", "roles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, type=pa.binary())], names=["node", "hashes"])
+
+    return staged(joined.mapInArrow(hashed, "node long, hashes binary"), "sets")
+
+
+def verify(sets: DataFrame, edges: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Keep the edges (a, b) whose multisets reach ``threshold``; adds the similarity.
 
-    roles_type = "array<struct<leader:long,part:int,kind:int>>"
-    sets = joined.mapInArrow(hashed, f"node long, hashes binary, roles {roles_type}")
-    rows = sets.select("node", "hashes", F.explode("roles").alias("r")).select("r.leader", "r.part", "r.kind", "node", "hashes")
+    One row per edge goes to the edge's leader ``b``. A leader with many members
+    is repeated for each group of about ``MEMBERS_PER_TASK`` of them, so no
+    group grows with the data.
+    """
+    degree = edges.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_TASK).cast("int").alias("groups"))
+    member = (edges.join(degree, "b")
+              .select(F.col("a").alias("node"), F.col("b").alias("leader"),
+                      F.pmod(F.xxhash64("a"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("kind")))
+    leader = degree.select(F.col("b").alias("node"), F.col("b").alias("leader"),
+                           F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("kind"))
+    roles = staged(member.unionByName(leader), "roles")
+    rows = sets.hint("merge").join(roles, "node").select("leader", "part", "kind", "node", "hashes")
     rows = rows.repartition("leader", "part").sortWithinPartitions("leader", "part", "kind")
 
     def compare(batches):
@@ -174,7 +178,7 @@ def verify(docs: DataFrame, nodes: DataFrame, edges: DataFrame, id_col: str, tex
             a, b, sim = [], [], []
             cols = [batch.column(i) for i in range(5)]
             for leader, part, kind, node, raw in zip(*(c.to_pylist() for c in cols[:4]), cols[4]):
-                other = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                other = np.frombuffer(raw.as_buffer(), dtype=np.uint32)
                 if kind == 0:
                     current, mine = (leader, part), other.copy()
                 elif (leader, part) == current:
@@ -198,11 +202,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class. ``cls`` names the class (never null), ``class_id`` is its smallest
     id (null only if all are), ``copies`` counts the rows with the same text.
 
-    1. Equal texts collapse to one node. 2. In every band bucket the smallest
-    node leads and all others are compared with it. 3. Buckets whose members
-    still lie in different components give the remaining pairs between
-    components, so no link inside a bucket is lost, while a large group of
-    copies, joined in step 2, gives none.
+    1. Equal texts collapse to one node. 2. Every bucket of one, two or four
+    neighbouring bands has leaders, one-band buckets up to ``LEADERS + 1``; each
+    member is compared with them. 3. In buckets whose members then still lie in
+    different components, those of at most ``SMALL_BUCKET`` nodes compare every
+    pair between components, larger ones every member with one more leader.
+
+    So the comparisons are linear in the sizes of the buckets; no bucket and no
+    member is left out. A link inside a bucket of more than ``SMALL_BUCKET``
+    nodes whose ends no leader joins can still be missed, as can one without a
+    common bucket (2 in 10,000 at the threshold).
 
     Null texts count as empty; all texts without words but equal bytes form one
     class, others stay alone. Null ids are allowed, repeated rows are copies.
@@ -212,26 +221,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = staged(table.groupBy("d1", "d2").agg(F.min("uid").alias("node"), F.min("id").alias("rep_id"),
                                                   F.count(F.lit(1)).alias("copies")), "nodes")
     reps = table.join(nodes.select(F.col("node").alias("uid")), "uid", "left_semi").where(F.col("bands").isNotNull())
-    buckets = reps.select(F.col("uid").alias("node"), F.posexplode("bands").alias("band", "key"))
-    heads = (buckets.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").drop("n"))
-    shared = staged(buckets.join(heads, ["band", "key"]), "buckets")  # only buckets of two nodes or more
-    first = shared.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links = staged(verify(docs, nodes, first, id_col, text_col, threshold), "links")
-    comp = connected_components(links.select("a", "b"))
-    tagged = (shared.join(comp, "node", "left")
-              .select("band", "key", "node", "leader", F.coalesce("component", "node").alias("component")))
-    mixed = (tagged.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo <> hi").select("band", "key"))
-    # pairs with the leader are known by now; only pairs between components that step 2 left apart remain
-    left = staged(tagged.where("node <> leader").join(mixed, ["band", "key"], "left_semi"), "left")
-    x = left.select("band", "key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = left.select("band", "key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    rest = staged(x.join(y, ["band", "key"]).where("a > b and ca <> cb").select("a", "b").distinct(), "rest")
+    bands = m // rows
+    key = lambda j: F.get("bands", j % bands)
+    keyed = reps.select(F.col("uid").alias("node"), F.explode(F.array(*[
+        F.struct(F.lit(j).alias("band"), key(j).alias("k1"), F.xxhash64(key(j), key(j + 1)).alias("k2"),
+                 F.xxhash64(key(j), key(j + 1), key(j + 2), key(j + 3)).alias("k4")) for j in range(bands)])).alias("x")).select("node", "x.*")
+    count = keyed.groupBy("band", "k1").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = staged(keyed.join(count, ["band", "k1"]), "buckets")  # only buckets of two nodes or more
+    # of every bucket the smallest node and, in one-band buckets, the first by LEADERS hash orders
+    lead = shared.groupBy("band", "k1").agg(F.array_distinct(F.array(F.min("node"), *[
+        F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(LEADERS)])).alias("leads"))
+    wide = shared.select("band", "k1", F.col("node").alias("a")).join(lead, ["band", "k1"]).select("a", F.explode("leads").alias("b"))
+    stars = [wide]
+    for k in ("k2", "k4"):
+        head = shared.groupBy("band", k).agg(F.min("node").alias("b"), F.max("node").alias("other")).where("b <> other").drop("other")
+        stars.append(shared.select("band", k, F.col("node").alias("a")).join(head, ["band", k]).select("a", "b"))
+    first = staged(reduce(DataFrame.unionByName, stars).where("a <> b").distinct(), "edges")
+    sets = shingle_sets(docs, nodes.join(shared.select("node").distinct(), "node", "left_semi"), id_col, text_col)
+    comp = staged(connected_components(verify(sets, first, threshold).select("a", "b")), "components")
+    tagged = shared.join(comp, "node", "left").select("band", "k1", "n", "node", F.coalesce("component", "node").alias("c"))
+    mixed = tagged.groupBy("band", "k1").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by("node", F.xxhash64("node", F.lit(-1))).alias("b"),
+                                              F.min_by("c", F.xxhash64("node", F.lit(-1))).alias("cb")).where("lo <> hi").drop("lo", "hi")
+    left = staged(tagged.join(mixed, ["band", "k1"]), "mixed")
+    large = left.where((F.col("n") > SMALL_BUCKET) & (F.col("c") != F.col("cb"))).select(F.col("node").alias("a"), "b")
+    x = left.where(F.col("n") <= SMALL_BUCKET)
+    y = x.select("band", "k1", F.col("node").alias("b2"), F.col("c").alias("c2"))
+    small = x.join(y, ["band", "k1"]).where("node > b2 and c <> c2").select(F.col("node").alias("a"), F.col("b2").alias("b"))
+    rest = staged(large.unionByName(small).distinct().join(first, ["a", "b"], "left_anti"), "edges")
     if not rest.isEmpty():
-        more = staged(verify(docs, nodes, rest, id_col, text_col, threshold), "links")
-        if not more.isEmpty():
-            comp = connected_components(links.unionByName(more).select("a", "b"))
+        # the new links join components of step 2
+        root = lambda side: comp.select(F.col("node").alias(side), F.col("component").alias("c" + side))
+        more = (verify(sets, rest, threshold).join(root("a"), "a", "left").join(root("b"), "b", "left")
+                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        joined = staged(connected_components(more), "components")
+        over = joined.select(F.col("node").alias("component"), F.col("component").alias("over"))
+        moved = comp.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
+        comp = moved.unionByName(joined.join(comp, "node", "left_anti"))
     classes = nodes.join(comp, "node", "left").withColumn("cls", F.coalesce("component", "node"))
     summary = classes.groupBy("cls").agg(F.min("rep_id").alias("class_id"), F.sum("copies").alias("class_size"))
     classes = classes.join(summary, "cls").select("d1", "d2", "cls", "class_id", "class_size", "copies")

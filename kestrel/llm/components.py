@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(down, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())

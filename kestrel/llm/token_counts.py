@@ -11,7 +11,6 @@ and the tokens that this document already had in the blocks before.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,6 @@ EOD = 50_256               # free in that vocabulary
 BLOCK_TOKENS = 1 << 16
 
 
-@lru_cache(maxsize=2)
 def _encoding(path: str):
     import tiktoken
 
