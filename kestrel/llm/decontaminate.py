@@ -10,11 +10,13 @@ banded edit distance; what needs at most ``k`` edits is a leak.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,13 +230,14 @@ def _indexes(benchmark: DataFrame, item_col: str, item_text: str, q: int, rate:
     out = []
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block).orderBy("t").collect()  # about index_bytes
-        out.append(benchmark.sparkSession.sparkContext.broadcast(Index([(r["item"], r["t"]) for r in rows], q, rate)))
+        out.append(benchmark.sparkSession.sparkContext.broadcast(
+            cloudpickle.dumps(Index([(r["item"], r["t"]) for r in rows], q, rate))))  # with its class, see the package
     return out
 
 
 def _searcher(index):
     def run(batches):
-        ix = index.value
+        ix = pickle.loads(index.value)
         for batch in batches:
             rows = []
             for a, b, data, off in tv.chunks(batch.column("text"), lower=True):
@@ -264,10 +267,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def _filter(index, at: int):
     def run(batches):
+        ix = pickle.loads(index.value)
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
             for a, _, data, off in tv.chunks(batch.column(at), lower=True):
-                for doc, *_rest in index.value.search(*normalise(data, off)):
+                for doc, *_rest in ix.search(*normalise(data, off)):
                     keep[a + doc] = False
             yield batch.filter(pa.array(keep))
 

@@ -11,12 +11,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import text_of
+from .common import fresh, text_of
 
 TRAIN_ROWS = 10_000   # bound of each training sample: positives and unlabelled texts
 KEEP_SCORE = 0.7
@@ -84,9 +85,6 @@ class PuModel:
     offset: float
     prior: float
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(x @ self.weights + self.offset)
-
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
@@ -188,24 +186,18 @@ def train(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_co
 
 def score(docs: DataFrame, model: PuModel, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` plus the score of every whole text (null and empty: the score of an empty text)."""
-    weights = docs.sparkSession.sparkContext.broadcast(model)
+    linear = docs.sparkSession.sparkContext.broadcast((model.weights, model.offset))
 
     @F.pandas_udf("double")
     def scored(text):
         res = np.empty(len(text))
         for a, b, data, off in tv.chunks(pa.array(text, type=pa.large_string(), from_pandas=True)):
-            res[a:b] = weights.value.score(features(data, off))
-        return _series(res)
+            res[a:b] = _sigmoid(features(data, off) @ linear.value[0] + linear.value[1])
+        return pd.Series(res)
 
     return docs.withColumn(out, scored(F.col(text_col)))
 
 
-def _series(values):
-    import pandas as pd
-
-    return pd.Series(values)
-
-
 def keep_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float = KEEP_SCORE) -> DataFrame:
     """Rows of ``docs`` whose text scores at least ``keep`` (columns unchanged).
 
@@ -213,8 +205,6 @@ def keep_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id",
     scores; without positives every score is 0.5, so nothing passes; an empty
     table stays empty.
     """
-    from .common import fresh
-
     name = fresh(docs, "_score")
     model = train(docs, positives, id_col, text_col)
     return score(docs, model, text_col, name).where(F.col(name) >= keep).select(*docs.columns)
