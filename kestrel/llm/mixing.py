@@ -62,19 +62,34 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) ->
     spread = 12 * F.sqrt(F.when(n > 1, mean * (1 - k / n) * (n - d) / (n - 1)).otherwise(0.0)) + 12
     low = F.greatest(F.lit(0.0), d - (n - k), F.floor(mean - spread).cast("double")).cast("long")
     high = F.least(k, d, F.ceil(mean + spread).cast("double")).cast("long")
-    steps = F.sequence(low, F.greatest(low, high))
+    zero = F.lit(0.0)
 
-    def log_ratio(i: Column) -> Column:  # log of P(i) / P(i - 1)
-        return F.when(i <= low, F.lit(0.0)).otherwise(F.log((k - i + 1) * (d - i + 1) / (i * (n - k - d + i))))
+    def bind(value: Column, body) -> Column:  # a lambda variable: what stands inside a lambda is computed for every element
+        return F.transform(F.array(value), body)[0]
 
-    zero = F.lit(0.0)
-    peak = F.aggregate(steps, F.struct(zero.alias("lp"), zero.alias("top")), lambda s, i: F.struct(
-        (s["lp"] + log_ratio(i)).alias("lp"), F.greatest(s["top"], s["lp"] + log_ratio(i)).alias("top")), lambda s: s["top"])
-    mass = F.aggregate(steps, F.struct(zero.alias("lp"), zero.alias("sum")), lambda s, i: F.struct(
-        (s["lp"] + log_ratio(i)).alias("lp"), (s["sum"] + F.exp(s["lp"] + log_ratio(i) - peak)).alias("sum")), lambda s: s["sum"])
-    return F.aggregate(steps, F.struct(zero.alias("lp"), zero.alias("sum"), low.alias("at")), lambda s, i: F.struct(
-        (s["lp"] + log_ratio(i)).alias("lp"), (s["sum"] + F.exp(s["lp"] + log_ratio(i) - peak)).alias("sum"),
-        F.when(s["sum"] < u * mass, i).otherwise(s["at"]).alias("at")), lambda s: s["at"])
+    def draw(x: Column) -> Column:
+        steps = F.sequence(x["low"], F.greatest(x["low"], x["high"]))
+
+        def log_ratio(i: Column) -> Column:  # log of P(i) / P(i - 1)
+            return F.when(i <= x["low"], zero).otherwise(F.log((x["k"] - i + 1) * (x["d"] - i + 1) / (i * (x["n"] - x["k"] - x["d"] + i))))
+
+        def grown(s: Column, i: Column, peak: Column) -> Column:
+            return s["sum"] + F.exp(s["lp"] + log_ratio(i) - peak)
+
+        peak = F.aggregate(steps, F.struct(zero.alias("lp"), zero.alias("top")), lambda s, i: F.struct(
+            (s["lp"] + log_ratio(i)).alias("lp"), F.greatest(s["top"], s["lp"] + log_ratio(i)).alias("top")), lambda s: s["top"])
+
+        def invert(peak: Column) -> Column:
+            mass = F.aggregate(steps, F.struct(zero.alias("lp"), zero.alias("sum")), lambda s, i: F.struct(
+                (s["lp"] + log_ratio(i)).alias("lp"), grown(s, i, peak).alias("sum")), lambda s: s["sum"])
+            return bind(mass * x["u"], lambda goal: F.aggregate(
+                steps, F.struct(zero.alias("lp"), zero.alias("sum"), x["low"].alias("at")), lambda s, i: F.struct(
+                    (s["lp"] + log_ratio(i)).alias("lp"), grown(s, i, peak).alias("sum"),
+                    F.when(s["sum"] < goal, i).otherwise(s["at"]).alias("at")), lambda s: s["at"]))
+
+        return bind(peak, invert)
+
+    return bind(F.struct(n.alias("n"), k.alias("k"), d.alias("d"), low.alias("low"), high.alias("high"), u.alias("u")), draw)
 
 
 def split_quotas(quotas: DataFrame, levels: int = SHARD_LEVELS, seed: str = SEED) -> DataFrame:
