@@ -113,7 +113,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_lm_scoring")
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    model = lm_score.train(docs, docs.join(trusted_positives(spark, sf_dir).distinct(), "doc_id", "left_semi"))
+    # the merge hint keeps one plan for every number of labels
+    target = docs.hint("merge").join(trusted_positives(spark, sf_dir).distinct(), "doc_id", "left_semi")
+    model = lm_score.train(docs, target)
     scored = lm_score.score_documents(docs, model)
     return scored.select(F.col("id").alias("doc_id"), "n_tokens", "target_loss", "background_loss", "score")
 
