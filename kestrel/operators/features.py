@@ -46,10 +46,11 @@ def tfidf_weights(tf: DataFrame, vocab: DataFrame, doc: str, term: str, n_docs)
     return weighted.select(doc, term, (F.col("w") / norm).alias("tfidf"))
 
 
-def top_terms(weights: DataFrame, doc: str, term: str, weight: str, k: int = 5) -> DataFrame:
-    """Highest-weight terms per document (ties by term); groups are bounded by the vocabulary."""
+def top_terms(weights: DataFrame, doc: str, term: str, weight: str, k: int | None = None) -> DataFrame:
+    """Terms of each document ranked by weight (ties by term), the first ``k`` or all; groups are bounded by the vocabulary."""
     w = Window.partitionBy(doc).orderBy(F.desc(weight), F.asc(term))
-    return weights.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
+    ranked = weights.withColumn("rank", F.row_number().over(w).cast("long"))
+    return ranked if k is None else ranked.filter(F.col("rank") <= k)
 
 
 def pca_2d(df: DataFrame, key: list[str], vec: str, k: int = 2, min_rows: int = 3) -> DataFrame:

@@ -8,7 +8,7 @@ from these plans).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
@@ -37,8 +37,17 @@ AS_OF = "2024-01-25"            # P6 plausibility date
 HIGH_VOLUME_FIXTURE_TERMS = ("click", "view")
 
 
+def _with_extra(cond: Column) -> Column:
+    """Generator: false for every row, and true for one more row where ``cond`` holds."""
+    return F.explode(F.when(cond, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+
+
 class Views:
-    """Lazily built fixture views for one scale-factor directory."""
+    """Lazily built fixture views for one scale-factor directory.
+
+    No view leaves out a source row or overwrites its text; dirty rows are
+    added to the real ones.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -54,7 +63,7 @@ class Views:
         for ptype, word in FIXTURE_STATUS_BY_TYPE:
             status = (F.when(F.col("p_type") == ptype, word) if status is None
                       else status.when(F.col("p_type") == ptype, word))
-        return part.filter(~F.col("p_name").like("old %")).select(
+        return part.select(
             F.col("p_partkey").alias("cosing_ref_no"),
             F.when(F.col("p_partkey") % 5 == 0, F.upper("p_name"))
              .when(F.col("p_partkey") % 7 == 0, F.concat(F.lit(" "), "p_name", F.lit(" ")))
@@ -69,29 +78,46 @@ class Views:
 
     # -- abstracts ----------------------------------------------------------
     def abstracts(self) -> DataFrame:
+        """Every document, and a blank abstract with a negative id for every 37th."""
         docs = self.table("documents", ["doc_id", "text", "source"])
-        return docs.select(
-            F.col("doc_id").cast("string").alias("pmid"),
+        rows = docs.withColumn("_blank", _with_extra(F.col("doc_id") % 37 == 0))
+        return rows.select(
+            F.when(F.col("_blank"), -1 - F.col("doc_id")).otherwise(F.col("doc_id")).cast("string").alias("pmid"),
             F.col("source").alias("ingredient_term"),
-            F.when(F.col("doc_id") % 37 == 0, F.lit("  ")).otherwise(F.col("text")).alias("abstract"),
+            F.when(F.col("_blank"), F.lit("  ")).otherwise(F.col("text")).alias("abstract"),
         )
 
+    def n_parts(self) -> Column:
+        """Number of parts (1 for none), so that facts reach all of them."""
+        return self.table("part", ["p_partkey"]).select(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+
     def evidence(self) -> DataFrame:
         docs = self.table("documents", ["doc_id"])
         return docs.select(F.col("doc_id").cast("string").alias("pmid"),
-                           (F.col("doc_id") % 200).alias("cosing_ref_no"))
+                           (F.col("doc_id") % self.n_parts()).alias("cosing_ref_no"))
 
     # -- adverse-event reports ---------------------------------------------
-    def reports(self) -> DataFrame:
-        ev = self.table("events", ["event_id", "ts", "event_type", "props"])
-        rid = (F.col("event_id") - F.when(F.col("event_id") % 10 == 9, 1).otherwise(0)).cast("string")
-        return ev.select(
-            F.col("event_id").alias("seq"),
-            F.when(F.col("event_id") % 101 == 0, F.lit("")).otherwise(rid).alias("safetyreportid"),
+    def reports(self, *carried: str) -> DataFrame:
+        """Every event, and rows with a blank id (every 101st) or a bad date (every 50th) under negative numbers.
+
+        ``carried`` names event columns to keep besides the report's own.
+        """
+        ev = self.table("events", list(dict.fromkeys(["event_id", "ts", "event_type", "props", *carried])))
+        dirt = F.array_compact(F.array(F.lit("none"), F.when(F.col("event_id") % 101 == 0, "id"),
+                                       F.when(F.col("event_id") % 50 == 0, "date")))
+        rows = ev.withColumn("_dirt", F.explode(dirt))
+        seq = (F.when(F.col("_dirt") == "id", -1 - 2 * F.col("event_id"))
+               .when(F.col("_dirt") == "date", -2 - 2 * F.col("event_id")).otherwise(F.col("event_id")))
+        rid = F.col("event_id") - F.when(F.col("event_id") % 10 == 9, 1).otherwise(0)
+        return rows.select(
+            seq.alias("seq"),
+            F.when(F.col("_dirt") == "id", F.lit("")).when(F.col("_dirt") == "date", seq.cast("string"))
+             .otherwise(rid.cast("string")).alias("safetyreportid"),
             F.col("event_type").alias("ingredient_term"),
-            F.when(F.col("event_id") % 50 == 0, F.lit("garbage"))
+            F.when(F.col("_dirt") == "date", F.lit("garbage"))
              .otherwise(F.date_format(F.col("ts").cast("date"), "yyyyMMdd")).alias("receivedate"),
             F.col("props").alias("raw_payload"),
+            *carried,
         )
 
     def stored(self) -> DataFrame:
@@ -100,9 +126,7 @@ class Views:
                 .select("safetyreportid", "ingredient_term", "receivedate")
 
     def incoming(self) -> DataFrame:
-        r = self.reports().filter(F.col("seq") % 3 != 0)
-        ev = self.table("events", ["event_id", "ts"])
-        return r.join(ev, r.seq == ev.event_id).select(
+        return self.reports("ts").filter(F.col("seq") % 3 != 0).select(
             "seq", "safetyreportid", "ingredient_term", "receivedate",
             F.when(F.col("seq") % 5 == 0,
                    F.date_format(F.date_add(F.col("ts").cast("date"), 1), "yyyyMMdd")).alias("receiptdate"),
@@ -113,7 +137,7 @@ class Views:
         return ev.select(
             "event_id",
             F.col("ts").cast("date").alias("full_date"),
-            (F.col("event_id") % 200).alias("cosing_ref_no"),
+            (F.col("event_id") % self.n_parts()).alias("cosing_ref_no"),
             (F.col("user_id") % 25).alias("n_nationkey"),
             (F.col("event_type") == "error").alias("is_serious"),
         )
@@ -128,11 +152,15 @@ class Views:
                  .agg(F.array_join(F.transform(F.sort_array(F.collect_list(
                      F.struct("l_linenumber", "l_partkey", "p_name"))), lambda x: x["p_name"]), ", ")
                       .alias("label")))
-        j = orders.join(label, orders.o_orderkey == label.l_orderkey, "left")
+        # every 19th label names one more ingredient, which no registry row has
+        j = (orders.join(label, orders.o_orderkey == label.l_orderkey, "left")
+             .withColumn("label", F.when(F.col("o_orderkey") % 19 == 0, F.concat("label", F.lit(", unlisted blend")))
+                         .otherwise(F.col("label")))
+             .withColumn("_blank", _with_extra(F.col("o_orderkey") % 23 == 0)))
         return j.select(
-            F.col("o_orderkey").alias("product_code"),
+            F.when(F.col("_blank"), -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("product_code"),
             F.col("o_orderpriority").alias("category"),
-            F.when(F.col("o_orderkey") % 23 == 0, F.lit(" "))
+            F.when(F.col("_blank"), F.lit(" "))
              .when(F.col("o_orderkey") % 2 == 0, F.col("label"))
              .otherwise(F.replace(F.col("label"), F.lit(", "), F.lit("\n"))).alias("label_text"),
         )

@@ -18,45 +18,54 @@ SELECT p_partkey AS cosing_ref_no,
        CASE p_type WHEN 'PROMO' THEN 'banned' WHEN 'ECONOMY' THEN 'restricted'
                    WHEN 'STANDARD' THEN 'allowed' WHEN 'LARGE' THEN 'see annex'
                    WHEN 'SMALL' THEN 'unknown' ELSE NULL END AS regulatory_status
-FROM part WHERE p_name NOT LIKE 'old %'""",
+FROM part""",
     "abstracts_v": """
-SELECT CAST(doc_id AS VARCHAR) AS pmid, source AS ingredient_term,
-       CASE WHEN doc_id % 37 = 0 THEN '  ' ELSE text END AS abstract
-FROM documents""",
+SELECT CAST(doc_id AS VARCHAR) AS pmid, source AS ingredient_term, text AS abstract FROM documents
+UNION ALL
+SELECT CAST(-1 - doc_id AS VARCHAR), source, '  ' FROM documents WHERE doc_id % 37 = 0""",
     "reports_v": """
 SELECT event_id AS seq,
-       CASE WHEN event_id % 101 = 0 THEN ''
-            ELSE CAST(event_id - (CASE WHEN event_id % 10 = 9 THEN 1 ELSE 0 END) AS VARCHAR) END AS safetyreportid,
+       CAST(event_id - (CASE WHEN event_id % 10 = 9 THEN 1 ELSE 0 END) AS VARCHAR) AS safetyreportid,
        event_type AS ingredient_term,
-       CASE WHEN event_id % 50 = 0 THEN 'garbage'
-            ELSE replace(CAST(CAST(ts AS DATE) AS VARCHAR), '-', '') END AS receivedate,
-       props AS raw_payload
-FROM events""",
+       replace(CAST(CAST(ts AS DATE) AS VARCHAR), '-', '') AS receivedate,
+       props AS raw_payload, ts AS src_ts, value AS src_value
+FROM events
+UNION ALL
+SELECT -1 - 2 * event_id, '', event_type, replace(CAST(CAST(ts AS DATE) AS VARCHAR), '-', ''), props, ts, value
+FROM events WHERE event_id % 101 = 0
+UNION ALL
+SELECT -2 - 2 * event_id, CAST(-2 - 2 * event_id AS VARCHAR), event_type, 'garbage', props, ts, value
+FROM events WHERE event_id % 50 = 0""",
     "stored_v": """
 SELECT safetyreportid, ingredient_term, receivedate FROM reports_v
 WHERE seq % 4 <> 0 AND seq % 10 <> 9 AND safetyreportid <> ''""",
     "incoming_v": """
 SELECT r.seq, r.safetyreportid, r.ingredient_term, r.receivedate,
        CASE WHEN r.seq % 5 = 0
-            THEN replace(CAST(CAST(e.ts AS DATE) + 1 AS VARCHAR), '-', '') END AS receiptdate
-FROM reports_v r JOIN events e ON e.event_id = r.seq WHERE r.seq % 3 <> 0""",
+            THEN replace(CAST(CAST(r.src_ts AS DATE) + 1 AS VARCHAR), '-', '') END AS receiptdate
+FROM reports_v r WHERE r.seq % 3 <> 0""",
     "safety_v": """
-SELECT event_id, CAST(ts AS DATE) AS full_date, event_id % 200 AS cosing_ref_no,
+SELECT event_id, CAST(ts AS DATE) AS full_date,
+       event_id % (SELECT greatest(count(*), 1) FROM part) AS cosing_ref_no,
        user_id % 25 AS n_nationkey, event_type = 'error' AS is_serious
 FROM events""",
     "labels_text_v": """
 SELECT o_orderkey AS product_code, o_orderpriority AS category,
-       CASE WHEN o_orderkey % 23 = 0 THEN ' ' WHEN o_orderkey % 2 = 0 THEN label
-            ELSE replace(label, ', ', chr(10)) END AS label_text
-FROM orders LEFT JOIN (SELECT l_orderkey, string_agg(p_name, ', ' ORDER BY l_linenumber, l_partkey) AS label
-                       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) x
-     ON l_orderkey = o_orderkey""",
+       CASE WHEN o_orderkey % 2 = 0 THEN label ELSE replace(label, ', ', chr(10)) END AS label_text
+FROM (SELECT o_orderkey, o_orderpriority,
+             CASE WHEN o_orderkey % 19 = 0 THEN items || ', unlisted blend' ELSE items END AS label
+      FROM orders LEFT JOIN (SELECT l_orderkey, string_agg(p_name, ', ' ORDER BY l_linenumber, l_partkey) AS items
+                             FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey) x
+           ON l_orderkey = o_orderkey)
+UNION ALL
+SELECT -1 - o_orderkey, o_orderpriority, ' ' FROM orders WHERE o_orderkey % 23 = 0""",
     "synonyms_v": """
 SELECT * FROM (VALUES ('hot plate','red plate'), ('small widget','red widget'), ('hot ring','small ring'),
                       ('blue bolt','red bolt'), ('large rod','small rod'), ('red gear','blue gear'))
      t(common_name, std_name)""",
     "evidence_v": """
-SELECT CAST(doc_id AS VARCHAR) AS pmid, doc_id % 200 AS cosing_ref_no FROM documents""",
+SELECT CAST(doc_id AS VARCHAR) AS pmid, doc_id % (SELECT greatest(count(*), 1) FROM part) AS cosing_ref_no
+FROM documents""",
     "reporter_v": """
 SELECT n_nationkey, n_name AS reporter_country, r_name AS region
 FROM nation JOIN region ON n_regionkey = r_regionkey""",

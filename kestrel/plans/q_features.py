@@ -19,8 +19,7 @@ from .registry import query
          SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY tfidf DESC, term) AS rank FROM (
            SELECT pmid, term, w / sqrt(sum(w * w) OVER (PARTITION BY pmid)) AS tfidf FROM (
              SELECT tf.pmid, tf.term, tf.tf * (ln((1 + (SELECT count(*) FROM abs_tok)) / (1 + v.df)) + 1) AS w
-             FROM tf JOIN vocab v ON v.term = tf.term)))
-       WHERE rank <= 5""",
+             FROM tf JOIN vocab v ON v.term = tf.term)))""",
     "abstracts_v",
     extra={**ABSTRACT_FEATURE_CTES,
            "tf": "SELECT pmid, term, count(*) AS tf FROM (SELECT pmid, unnest(toks) AS term FROM abs_tok) GROUP BY 1, 2",
@@ -31,7 +30,7 @@ def q_tfidf_top_terms(spark, sf_dir):
     toks = abstract_tokens(v.abstracts()).select("pmid", F.col("token").alias("term"))
     n_docs = abstracts_processed_df(v).select(F.count(F.lit(1))).scalar()
     weights = features.tfidf(toks, "pmid", "term", n_docs)
-    return features.top_terms(weights, "pmid", "term", "tfidf", 5).select("pmid", "rank", "term", "tfidf")
+    return features.top_terms(weights, "pmid", "term", "tfidf", None).select("pmid", "rank", "term", "tfidf")
 
 
 TFIDF_CTES = {**ABSTRACT_FEATURE_CTES,

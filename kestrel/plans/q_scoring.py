@@ -161,13 +161,10 @@ def q_reports_clean(spark, sf_dir):
 
 @query("coerce_int", with_views(
     """SELECT seq, CAST(trunc(coalesce(TRY_CAST(receivedate AS DOUBLE), 0)) AS BIGINT) AS receivedate_int,
-              CAST(trunc(coalesce(TRY_CAST(CAST(e.value AS VARCHAR) AS DOUBLE), 0)) AS BIGINT) AS value_int
-       FROM reports_v r JOIN events e ON e.event_id = r.seq""", "reports_v"))
+              CAST(trunc(coalesce(TRY_CAST(CAST(src_value AS VARCHAR) AS DOUBLE), 0)) AS BIGINT) AS value_int
+       FROM reports_v""", "reports_v"))
 def q_coerce_int(spark, sf_dir):
-    v = Views(spark, sf_dir)
-    ev = v.table("events", ["event_id", "value"])
-    r = v.reports()
-    return r.join(ev, r.seq == ev.event_id).select(
+    return Views(spark, sf_dir).reports("value").select(
         "seq", coerce_int("receivedate").alias("receivedate_int"), coerce_int("value").alias("value_int"))
 
 
