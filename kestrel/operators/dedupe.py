@@ -42,7 +42,10 @@ WINDOW_GROUP_LIMIT_MAX = 1000   # Spark's default spark.sql.optimizer.windowGrou
 
 def first_n_per_group(df: DataFrame, group: Sequence[str] | str, order: Sequence[str] | str, n: int,
                       salt_buckets: int = 16, rank_col: str | None = None) -> DataFrame:
-    """The first ``n`` rows of each group by ``order`` (ties by the order columns only).
+    """The first ``n`` rows of each group by ``order``, ties by the remaining columns.
+
+    The order is total but for rows equal in every column, so the same rows
+    are kept under any partitioning and by either plan below.
 
     For ``n`` within Spark's window group-limit threshold this is the plain
     ``row_number() <= n`` filter: Catalyst plans a *partial* WindowGroupLimit
@@ -52,6 +55,7 @@ def first_n_per_group(df: DataFrame, group: Sequence[str] | str, order: Sequence
     survivors of each group.
     """
     groups, order_cols = _cols(group), _cols(order)
+    order_cols += [c for c in df.columns if c not in order_cols and c not in groups]
     cols = [F.col(c) for c in df.columns]
     if n <= min(WINDOW_GROUP_LIMIT_MAX, int(df.sparkSession.conf.get(
             "spark.sql.optimizer.windowGroupLimitThreshold", str(WINDOW_GROUP_LIMIT_MAX)))):
@@ -61,7 +65,7 @@ def first_n_per_group(df: DataFrame, group: Sequence[str] | str, order: Sequence
         salt = F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % salt_buckets
         w1 = Window.partitionBy(*groups, "_salt").orderBy(*order_cols)
         stage1 = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n)
-        w2 = Window.partitionBy(*groups).orderBy(*order_cols, "_salt", "_r")
+        w2 = Window.partitionBy(*groups).orderBy(*order_cols)
         out = stage1.withColumn("_rank", F.row_number().over(w2)).filter(F.col("_rank") <= n)
     if rank_col:
         cols.append(F.col("_rank").cast("long").alias(rank_col))
