@@ -59,7 +59,7 @@ REGISTRY_RENAMES = {
     "CAS No": "cas_no",
     "EC No": "ec_no",
     "COSING Ref No": "cosing_ref_no",
-    "Chem/IUPAC Name / Description": "description",
+    "Chem/IUPAC Name / Description": "chem_description",
     "Update Date": "update_date",
 }
 
