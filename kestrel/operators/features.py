@@ -18,37 +18,39 @@ from ..functions.numeric import rms_normalise
 from .keys import materialize, small_lookup
 
 
-def tfidf(tokens: DataFrame, doc: str, term: str, n_docs, max_features: int = TFIDF_MAX_FEATURES,
+def tfidf(tokens: DataFrame, doc: str | list[str], term: str, n_docs, max_features: int = TFIDF_MAX_FEATURES,
           min_df: int = TFIDF_MIN_DF) -> DataFrame:
     """M1: (doc, term, tfidf) for the vocabulary terms of each document.
 
     Vocabulary: terms in at least ``min_df`` documents, then the
     ``max_features`` most frequent by total count (ties by term).
     Weight = tf * (ln((1 + n) / (1 + df)) + 1), rows L2-normalised.
+    ``doc`` names the column or columns that tell documents apart. A document
+    is a row, so where ids may repeat or be null one of them is a row number.
     ``n_docs`` is a Column (scalar subquery) or number: all documents, also
     those left without vocabulary terms.
     """
+    keys = [doc] if isinstance(doc, str) else doc
     # the explicit not-null filter makes both uses of ``tf`` (vocabulary, weights)
     # the same plan, so the token aggregation's exchange is computed once and reused
-    tf = tokens.filter(F.col(doc).isNotNull() & F.col(term).isNotNull()) \
-               .groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf"))
+    tf = tokens.filter(F.col(term).isNotNull()).groupBy(*keys, term).agg(F.count(F.lit(1)).alias("tf"))
     stats = tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     vocab = stats.filter(F.col("df") >= min_df).orderBy(F.desc("total"), F.asc(term)).limit(max_features)
-    return tfidf_weights(tf, vocab.select(term, "df"), doc, term, n_docs)
+    return tfidf_weights(tf, vocab.select(term, "df"), keys, term, n_docs)
 
 
-def tfidf_weights(tf: DataFrame, vocab: DataFrame, doc: str, term: str, n_docs) -> DataFrame:
-    """Weights from (doc, term, tf) and a vocabulary (term, df) capped at max_features rows (broadcast)."""
+def tfidf_weights(tf: DataFrame, vocab: DataFrame, keys: list[str], term: str, n_docs) -> DataFrame:
+    """Weights from (keys, term, tf) and a vocabulary (term, df) capped at max_features rows (broadcast)."""
     idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
-    weighted = tf.join(small_lookup(vocab), term).select(doc, term, (F.col("tf") * idf).alias("w"))
+    weighted = tf.join(small_lookup(vocab), term).select(*keys, term, (F.col("tf") * idf).alias("w"))
     # a document has at most max_features vocabulary rows, so this window is bounded per task
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
-    return weighted.select(doc, term, (F.col("w") / norm).alias("tfidf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys)))
+    return weighted.select(*keys, term, (F.col("w") / norm).alias("tfidf"))
 
 
-def top_terms(weights: DataFrame, doc: str, term: str, weight: str, k: int | None = None) -> DataFrame:
+def top_terms(weights: DataFrame, doc: str | list[str], term: str, weight: str, k: int | None = None) -> DataFrame:
     """Terms of each document ranked by weight (ties by term), the first ``k`` or all; groups are bounded by the vocabulary."""
-    w = Window.partitionBy(doc).orderBy(F.desc(weight), F.asc(term))
+    w = Window.partitionBy(*([doc] if isinstance(doc, str) else doc)).orderBy(F.desc(weight), F.asc(term))
     ranked = weights.withColumn("rank", F.row_number().over(w).cast("long"))
     return ranked if k is None else ranked.filter(F.col("rank") <= k)
 
@@ -115,7 +117,8 @@ def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
               max_features: int = TFIDF_MAX_FEATURES, min_df: int = TFIDF_MIN_DF) -> DataFrame:
     """M2 on text: centred PCA scores of the L2-normalised TF-IDF vectors of documents.
 
-    ``tokens_by_doc`` has one row per document with its token array. The
+    ``tokens_by_doc`` has one row per document with its token array (null counts
+    as empty); every row gets its own scores, also where ids repeat or are null. The
     vocabulary (at most ``max_features`` terms with document counts) is
     computed relationally. Per-document vectors are built by Spark ML (term
     counts -> times idf -> L2 rows) and stay sparse; their d x d covariance
@@ -123,6 +126,7 @@ def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
     that reaches the driver, where numpy decomposes it. Scores are relational:
     the weights joined to the (broadcast, d-row) loadings and summed per
     document, then centred; each component's largest loading is made positive.
+    Fewer than two documents or ``k`` terms have no components: null scores.
     """
     import numpy as np
     from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -131,16 +135,19 @@ def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
     from pyspark.mllib.util import MLUtils
 
     spark = tokens_by_doc.sparkSession
-    # the vocabulary, the vectors, the weights and the centring all read the tokens: tokenise once
-    tokens_by_doc = materialize(tokens_by_doc.select(doc, tokens))
-    exploded = tokens_by_doc.select(doc, F.explode(tokens).alias("_t"))
-    tf = exploded.groupBy(doc, "_t").agg(F.count(F.lit(1)).alias("_tf"))
+    # the vocabulary, the vectors, the weights and the centring all read the tokens: tokenise once;
+    # the checkpoint also fixes the row numbers
+    numbered = tokens_by_doc.select(F.monotonically_increasing_id().alias("_row"), doc,
+                                    F.coalesce(tokens, F.array().cast("array<string>")).alias(tokens))
+    tokens_by_doc = materialize(numbered)
+    exploded = tokens_by_doc.select("_row", F.explode(tokens).alias("_t"))
+    tf = exploded.groupBy("_row", "_t").agg(F.count(F.lit(1)).alias("_tf"))
     stats = tf.groupBy("_t").agg(F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("_total"))
     vocab = (stats.filter(F.col("_df") >= min_df).orderBy(F.desc("_total"), F.asc("_t"))
              .limit(max_features).collect())                    # bounded by max_features
     n_docs = tokens_by_doc.count()
     names = ["pca_x", "pca_y"] + [f"pca_{j}" for j in range(2, k)]
-    if n_docs < 3 or len(vocab) < k:
+    if n_docs < 2 or len(vocab) < k:
         return tokens_by_doc.select(doc, *[F.lit(None).cast("double").alias(n) for n in names])
     terms = [r["_t"] for r in vocab]
     idf = [math.log((1 + n_docs) / (1 + r["_df"])) + 1 for r in vocab]
@@ -149,7 +156,7 @@ def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
     vectors = Normalizer(p=2.0, inputCol="_w", outputCol="_v").transform(
         weighted.transform(counts.transform(tokens_by_doc.select(tokens)))).select("_v")
     # the covariance makes several passes (count, column means, Gramian): keep the vectors for them
-    rows = MLUtils.convertVectorColumnsFromML(vectors, "_v").rdd.map(lambda r: r[0]).cache()
+    rows = MLUtils.convertVectorColumnsFromML(vectors, "_v").persist()
     try:
         cov = RowMatrix(rows, numRows=n_docs, numCols=len(terms)).computeCovariance().toArray()  # d x d
     finally:
@@ -161,11 +168,11 @@ def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
         [(t, *[float(comps[i, j]) for j in range(k)]) for i, t in enumerate(terms)],
         ", ".join(["_t string"] + [f"_l{j} double" for j in range(k)]))
     vocab_df = spark.createDataFrame([(r["_t"], r["_df"]) for r in vocab], "_t string, df long")
-    weights = tfidf_weights(tf.withColumnRenamed("_tf", "tf"), vocab_df, doc, "_t", F.lit(n_docs))
+    weights = tfidf_weights(tf.withColumnRenamed("_tf", "tf"), vocab_df, ["_row"], "_t", F.lit(n_docs))
     dots = (weights.join(small_lookup(loadings), "_t")
-            .groupBy(doc).agg(*[F.sum(F.col("tfidf") * F.col(f"_l{j}")).alias(f"_d{j}") for j in range(k)]))
+            .groupBy("_row").agg(*[F.sum(F.col("tfidf") * F.col(f"_l{j}")).alias(f"_d{j}") for j in range(k)]))
     # documents without vocabulary terms are the zero vector: score 0 before centring
-    proj = tokens_by_doc.select(doc).join(dots, doc, "left").select(
+    proj = tokens_by_doc.select("_row", doc).join(dots, "_row", "left").select(
         doc, *[F.coalesce(f"_d{j}", F.lit(0.0)).alias(f"_d{j}") for j in range(k)])
     means = proj.select(F.array(*[F.avg(f"_d{j}") for j in range(k)])).scalar()
     proj = proj.withColumn("_means", means)

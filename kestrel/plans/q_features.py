@@ -5,49 +5,46 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import fda_to_iso, iso_to_fda, unify_dates
-from ..functions.text import html_title, slug, strip_markup
+from ..functions.text import clean_tokens, html_title, slug, strip_markup
 from ..operators import features
-from ..operators.clean import abstract_tokens
+from ..operators.clean import drop_blank
 from .fixtures import Views
 from .oracle_views import WS, sql_strip, with_views
 from .q_scoring import ABSTRACT_FEATURE_CTES, abstracts_processed_df
 from .registry import query
 
 
-@query("tfidf_top_terms", with_views(
-    """SELECT pmid, rank, term, tfidf FROM (
-         SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY tfidf DESC, term) AS rank FROM (
-           SELECT pmid, term, w / sqrt(sum(w * w) OVER (PARTITION BY pmid)) AS tfidf FROM (
-             SELECT tf.pmid, tf.term, tf.tf * (ln((1 + (SELECT count(*) FROM abs_tok)) / (1 + v.df)) + 1) AS w
-             FROM tf JOIN vocab v ON v.term = tf.term)))""",
-    "abstracts_v",
-    extra={**ABSTRACT_FEATURE_CTES,
-           "tf": "SELECT pmid, term, count(*) AS tf FROM (SELECT pmid, unnest(toks) AS term FROM abs_tok) GROUP BY 1, 2",
-           "vocab": """SELECT term, df FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1)
-                       WHERE df >= 2 ORDER BY total DESC, term LIMIT 2000"""}))
-def q_tfidf_top_terms(spark, sf_dir):
+# a document is a row: its number, not its id, tells it apart
+TFIDF_CTES = {**ABSTRACT_FEATURE_CTES,
+              "doc": "SELECT row_number() OVER () AS doc, pmid, toks FROM abs_tok",
+              "tf": "SELECT doc, pmid, term, count(*) AS tf FROM (SELECT doc, pmid, unnest(toks) AS term FROM doc) GROUP BY ALL",
+              "vocab": """SELECT term, df FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1)
+                          WHERE df >= 2 ORDER BY total DESC, term LIMIT 2000""",
+              "weights": """SELECT doc, pmid, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc)) AS tfidf FROM (
+                              SELECT tf.doc, tf.pmid, tf.term, tf.tf * (ln((1 + (SELECT count(*) FROM abs_tok)) / (1 + v.df)) + 1) AS w
+                              FROM tf JOIN vocab v ON v.term = tf.term)"""}
+
+
+def _weights(spark, sf_dir):
+    """(doc, pmid, term, tfidf) of every non-blank abstract; ``doc`` numbers the rows."""
     v = Views(spark, sf_dir)
-    toks = abstract_tokens(v.abstracts()).select("pmid", F.col("token").alias("term"))
+    # numbered before the explode, so that all terms of a row share its number
+    docs = drop_blank(v.abstracts(), "abstract").withColumn("doc", F.monotonically_increasing_id())
+    toks = docs.select("doc", "pmid", F.explode(clean_tokens("abstract")).alias("term"))
     n_docs = abstracts_processed_df(v).select(F.count(F.lit(1))).scalar()
-    weights = features.tfidf(toks, "pmid", "term", n_docs)
-    return features.top_terms(weights, "pmid", "term", "tfidf", None).select("pmid", "rank", "term", "tfidf")
+    return features.tfidf(toks, ["doc", "pmid"], "term", n_docs)
 
 
-TFIDF_CTES = {**ABSTRACT_FEATURE_CTES,
-              "tf": "SELECT pmid, term, count(*) AS tf FROM (SELECT pmid, unnest(toks) AS term FROM abs_tok) GROUP BY 1, 2",
-              "vocab": """SELECT term, df FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1)
-                          WHERE df >= 2 ORDER BY total DESC, term LIMIT 2000"""}
+@query("tfidf_top_terms", with_views(
+    """SELECT pmid, row_number() OVER (PARTITION BY doc ORDER BY tfidf DESC, term) AS rank, term, tfidf FROM weights""",
+    "abstracts_v", extra=TFIDF_CTES))
+def q_tfidf_top_terms(spark, sf_dir):
+    return features.top_terms(_weights(spark, sf_dir), ["doc", "pmid"], "term", "tfidf", None).select("pmid", "rank", "term", "tfidf")
 
 
-@query("tfidf_weights", with_views(
-    """SELECT pmid, term, w / sqrt(sum(w * w) OVER (PARTITION BY pmid)) AS tfidf FROM (
-         SELECT tf.pmid, tf.term, tf.tf * (ln((1 + (SELECT count(*) FROM abs_tok)) / (1 + v.df)) + 1) AS w
-         FROM tf JOIN vocab v ON v.term = tf.term)""", "abstracts_v", extra=TFIDF_CTES))
+@query("tfidf_weights", with_views("SELECT pmid, term, tfidf FROM weights", "abstracts_v", extra=TFIDF_CTES))
 def q_tfidf_weights(spark, sf_dir):
-    v = Views(spark, sf_dir)
-    toks = abstract_tokens(v.abstracts()).select("pmid", F.col("token").alias("term"))
-    n_docs = abstracts_processed_df(v).select(F.count(F.lit(1))).scalar()
-    return features.tfidf(toks, "pmid", "term", n_docs)
+    return _weights(spark, sf_dir).select("pmid", "term", "tfidf")
 
 
 @query("pca_2d")
@@ -58,8 +55,6 @@ def q_pca_2d(spark, sf_dir):
 
 @query("abstract_pca")
 def q_abstract_pca(spark, sf_dir):
-    from ..functions.text import clean_tokens
-    from ..operators.clean import drop_blank
     docs = drop_blank(Views(spark, sf_dir).abstracts(), "abstract")
     return features.tfidf_pca(docs.select("pmid", clean_tokens("abstract").alias("tokens")), "pmid", "tokens")
 

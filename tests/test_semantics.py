@@ -391,3 +391,27 @@ def test_text_pca_matches_numpy(spark):
     for j in range(2):
         comp = vt[j] * (1 if vt[j][np.abs(vt[j]).argmax()] >= 0 else -1)
         assert np.allclose([got[p][j] for p in pmids], xc @ comp, atol=1e-8)
+
+
+def test_tfidf_and_text_pca_keep_rows_with_repeated_and_null_ids(spark):
+    """A document is a row: rows that share an id or have none get weights and scores of their own."""
+    rows = [("1", ["retinol", "acid", "skin"]), ("1", ["retinol", "serum"]), (None, ["acid", "retinol", "serum", "serum"]),
+            ("4", ["skin", "acid"]), ("5", ["serum", "skin", "retinol"]), (None, ["acid", "skin", "skin"]), ("7", [])]
+    vocab = ["acid", "retinol", "serum", "skin"]
+    counts = np.array([[ts.count(t) for t in vocab] for _, ts in rows], dtype=float)
+    x = counts * (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1)
+    x /= np.maximum(np.linalg.norm(x, axis=1), 1e-300)[:, None]
+    docs = spark.createDataFrame(rows, "pmid string, tokens array<string>")
+    toks = docs.withColumn("doc", F.monotonically_increasing_id()).select("doc", "pmid", F.explode("tokens").alias("term"))
+    got = features.tfidf(toks, ["doc", "pmid"], "term", F.lit(len(rows))).collect()
+    order = sorted({(r.doc, r.pmid) for r in got})
+    assert [p for _, p in order] == [p for p, ts in rows if ts]
+    assert len(got) == (counts > 0).sum()
+    for r in got:
+        assert r.tfidf == pytest.approx(x[[d for d, _ in order].index(r.doc), vocab.index(r.term)])
+    scores = [(r.pmid, r.pca_x, r.pca_y) for r in features.tfidf_pca(docs, "pmid", "tokens").collect()]
+    xc = x - x.mean(axis=0)
+    vt = np.linalg.eigh(xc.T @ xc)[1][:, ::-1].T
+    want = xc @ np.array([vt[j] * (1 if vt[j][np.abs(vt[j]).argmax()] >= 0 else -1) for j in range(2)]).T
+    near = lambda s: (s[0] or "", round(s[1], 6) + 0.0, round(s[2], 6) + 0.0)
+    assert sorted(map(near, scores)) == sorted(near((p, *w)) for (p, _), w in zip(rows, want))
