@@ -57,12 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is left as
     is. Only when nothing is configured (local tests) a fresh temporary folder
-    is made, because checkpoints there are never shared with other machines.
+    is made, because checkpoints there are never shared with other machines; on
+    any other master the missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():

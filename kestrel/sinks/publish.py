@@ -17,6 +17,7 @@ On a cluster with a table format (Delta/Iceberg), swap in ``MERGE INTO``.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,8 @@ from pyspark.errors import AnalysisException
 from ..operators.clean import drop_null_keys
 from ..operators.quality import dq_report, is_valid
 
+log = logging.getLogger(__name__)
+
 
 def _commits(path: str) -> str:
     return f"{path.rstrip('/')}/_commits"
@@ -38,7 +41,9 @@ def current_marker(spark: SparkSession, path: str) -> dict | None:
     """The last commit marker ``{"version": n, "batch_id": b}`` (reads the small marker folder only)."""
     try:
         markers = spark.read.schema(MARKER_SCHEMA).json(_commits(path))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else is no sign of a new table
+            raise
         return None
     row = markers.orderBy(F.desc("version")).limit(1).collect()
     return row[0].asDict() if row else None
@@ -65,7 +70,8 @@ def atomic_publish(df: DataFrame, path: str, table: str | None = None,
 
     ``table`` selects the data-quality rules; a FAILED rule aborts before any
     write. ``before_commit`` runs after the data is written and before the
-    marker (failure injection in tests). Any error leaves the table as it was.
+    marker (failure injection in tests). Any error leaves the table as it was
+    and its cause goes to the log.
     ``batch_id`` is recorded in the marker so a replayed micro-batch can be
     recognised (streaming sinks, R2).
     """
@@ -84,6 +90,7 @@ def atomic_publish(df: DataFrame, path: str, table: str | None = None,
         spark.createDataFrame([(nxt, batch_id)], MARKER_SCHEMA).coalesce(1).write.mode("error") \
              .json(f"{_commits(path)}/v={nxt}")
     except Exception:
+        log.exception("version %d of %s was not committed", nxt, path)
         return False
     return True
 
