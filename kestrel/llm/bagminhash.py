@@ -34,6 +34,7 @@ THRESHOLD = 0.8
 LEADERS = 4            # leaders of a one-band bucket by hash order, besides its smallest node
 SMALL_BUCKET = 16       # buckets of so many nodes at most compare all pairs between components
 MEMBERS_PER_TASK = 512  # members of one leader that are compared in one group
+COUNTERS = 1 << 20      # counters that tell rare shingles from common ones; they set the order of prefixes, not the result
 
 
 def weighted_sets(texts: pa.Array, width: int = SHINGLE_WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -193,6 +194,79 @@ def verify(sets: DataFrame, edges: DataFrame, threshold: float = THRESHOLD) -> D
     return rows.mapInArrow(compare, "a long, b long, similarity double").dropDuplicates(["a", "b"])
 
 
+def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """``node, c, size, pos, element, short`` of every element in the prefix of a node's set (``node, c, hashes``).
+
+    Elements are (shingle, occurrence), ordered from rare to common. Of two sets
+    that reach ``threshold`` the first common element lies in the prefix of the
+    larger one and in the ``short`` prefix of the smaller one. Rarity is read
+    from a fixed number of shared counters: equal counters only make prefixes
+    less selective.
+    """
+
+    def count(batches):
+        seen = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for raw in batch.column("hashes"):
+                seen += np.bincount(np.unique(np.frombuffer(raw.as_buffer(), dtype=np.uint32)) % COUNTERS, minlength=COUNTERS)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["slot", "n"])
+
+    found = sets.select("hashes").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    common = np.zeros(COUNTERS, dtype=np.int64)
+    common[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(common)
+
+    def cut(batches):
+        for batch in batches:
+            parts = []
+            for i, raw in enumerate(batch.column("hashes")):
+                h = np.frombuffer(raw.as_buffer(), dtype=np.uint32)
+                n = len(h)
+                if not n:
+                    continue
+                nth = np.arange(n) - np.searchsorted(h, h)
+                order = np.lexsort((nth, h, shared.value[h % COUNTERS]))[: n - math.ceil(threshold * n - 1e-6) + 1]
+                element = ((h[order].astype(np.uint64) << np.uint64(32)) | nth[order].astype(np.uint64)).view(np.int64)
+                pos = np.arange(len(order))
+                parts.append((np.full(len(order), i), np.full(len(order), n), pos, element, pos <= n - math.ceil(2 * threshold / (1 + threshold) * n - 1e-6)))
+            row, size, pos, element, short = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, dtype=np.int64)] * 4 + [np.zeros(0, dtype=bool)]
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(row)), batch.column("c").take(pa.array(row)), pa.array(size), pa.array(pos),
+                                              pa.array(element), pa.array(short)], names=["node", "c", "size", "pos", "element", "short"])
+
+    return sets.select("node", "c", "hashes").mapInArrow(cut, "node long, c long, size long, pos long, element long, short boolean")
+
+
+def similar_candidates(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``a, b``: every pair of nodes of different components ``c`` that can reach ``threshold``, by a prefix join.
+
+    Nodes of an element's largest component meet only nodes of other ones, so
+    the join makes no pairs inside a large component. The two sides of a
+    common element are dealt over a grid of parts of ``MEMBERS_PER_TASK`` rows.
+    """
+    rows = staged(prefixes(sets, threshold), "prefixes")
+    per = rows.groupBy("element", "c").agg(F.count(F.lit(1)).alias("n"), F.count_if("short").alias("k"))
+    per = per.groupBy("element").agg(F.max_by("c", F.struct("n", "c")).alias("top"), F.sum("n").alias("n"), F.sum("k").alias("k"),
+                                     F.count(F.lit(1)).alias("parts")).where("parts > 1 and k > 0")
+    groups = lambda x: F.ceil(F.col(x) / MEMBERS_PER_TASK).cast("int")
+    rows = staged(rows.join(per.select("element", "top", groups("n").alias("gn"), groups("k").alias("gk")), "element")
+                  .withColumn("top", F.col("c") == F.col("top")), "prefixes")
+    part = lambda g: F.pmod(F.xxhash64("node"), F.col(g)).cast("int")
+    every = lambda g: F.explode(F.sequence(F.lit(0), F.col(g) - 1))
+    # cells: 0 both outside the largest component, 1 the larger set inside it, 2 the smaller one inside it
+    cells = lambda inside, outside: F.explode(F.when(F.col("top"), F.array(F.lit(inside))).otherwise(F.array(F.lit(0), F.lit(outside))))
+    x = (rows.where("short").withColumn("cell", cells(2, 1)).withColumn("px", part("gk")).withColumn("py", every("gn"))
+         .select("element", "cell", "px", "py", "node", "c", "size", "pos"))
+    y = (rows.withColumn("cell", cells(1, 2)).withColumn("py", part("gn")).withColumn("px", every("gk"))
+         .select("element", "cell", "px", "py", F.col("node").alias("node2"), F.col("c").alias("c2"), F.col("size").alias("size2"), F.col("pos").alias("pos2")))
+    need = F.ceil((F.col("size") + F.col("size2")) * (threshold / (1 + threshold)) - 1e-6)
+    fits = ((F.col("c") != F.col("c2")) & (F.struct("size", "node") < F.struct("size2", "node2"))
+            & (F.col("size") >= threshold * F.col("size2") - 1e-6)
+            & (F.col("size") - F.col("pos") >= need) & (F.col("size2") - F.col("pos2") >= need))
+    same = (x["element"] == y["element"]) & (x["cell"] == y["cell"]) & (x["px"] == y["px"]) & (x["py"] == y["py"])
+    return x.join(y, same & fits).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     m: int = COMPONENTS, rows: int = BAND_ROWS) -> DataFrame:
     """Class of every row: ``id, d1, d2, uid, cls, class_id, class_size, copies``.
@@ -206,12 +280,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     neighbouring bands has leaders, one-band buckets up to ``LEADERS + 1``; each
     member is compared with them. 3. In buckets whose members then still lie in
     different components, those of at most ``SMALL_BUCKET`` nodes compare every
-    pair between components, larger ones every member with one more leader.
+    pair between components. The nodes of larger ones go through an exact
+    prefix join of their shingles: every pair of them that can reach the
+    threshold and lies in different components is compared.
 
-    So the comparisons are linear in the sizes of the buckets; no bucket and no
-    member is left out. A link inside a bucket of more than ``SMALL_BUCKET``
-    nodes whose ends no leader joins can still be missed, as can one without a
-    common bucket (2 in 10,000 at the threshold).
+    So every link within a bucket ends in one class, whatever the bucket's size.
+    Only a link without a common bucket can be missed (2 in 10,000 at the
+    threshold).
 
     Null texts count as empty; all texts without words but equal bytes form one
     class, others stay alone. Null ids are allowed, repeated rows are copies.
@@ -240,14 +315,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = shingle_sets(docs, nodes.join(shared.select("node").distinct(), "node", "left_semi"), id_col, text_col)
     comp = staged(connected_components(verify(sets, first, threshold).select("a", "b")), "components")
     tagged = shared.join(comp, "node", "left").select("band", "k1", "n", "node", F.coalesce("component", "node").alias("c"))
-    mixed = tagged.groupBy("band", "k1").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by("node", F.xxhash64("node", F.lit(-1))).alias("b"),
-                                              F.min_by("c", F.xxhash64("node", F.lit(-1))).alias("cb")).where("lo <> hi").drop("lo", "hi")
+    mixed = tagged.groupBy("band", "k1").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").drop("lo", "hi")
     left = staged(tagged.join(mixed, ["band", "k1"]), "mixed")
-    large = left.where((F.col("n") > SMALL_BUCKET) & (F.col("c") != F.col("cb"))).select(F.col("node").alias("a"), "b")
     x = left.where(F.col("n") <= SMALL_BUCKET)
     y = x.select("band", "k1", F.col("node").alias("b2"), F.col("c").alias("c2"))
     small = x.join(y, ["band", "k1"]).where("node > b2 and c <> c2").select(F.col("node").alias("a"), F.col("b2").alias("b"))
-    rest = staged(large.unionByName(small).distinct().join(first, ["a", "b"], "left_anti"), "edges")
+    crowd = staged(left.where(F.col("n") > SMALL_BUCKET).select("node", "c").distinct(), "crowd")
+    if not crowd.isEmpty():
+        small = small.unionByName(similar_candidates(sets.join(crowd, "node"), threshold).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    rest = staged(small.distinct().join(first, ["a", "b"], "left_anti"), "edges")
     if not rest.isEmpty():
         # the new links join components of step 2
         root = lambda side: comp.select(F.col("node").alias(side), F.col("component").alias("c" + side))

@@ -102,6 +102,29 @@ def test_near_duplicates_miss_no_link(spark):
             assert got[a] != got[b]
 
 
+def test_near_duplicates_in_one_hot_bucket(spark):
+    """Thousands of texts that are mostly one boilerplate (0.76 alike) and hold families of two at 0.80 to 0.9."""
+    boiler, rows = prose(160), []
+    for f in range(1200):
+        own = ["f%du%d" % (f, i) for i in range(24)]
+        for j in range(2):
+            cut = 7 + f % 12
+            rows.append((2 * f + j, " ".join([boiler, *own[:cut], *("%sv%d" % (w, j) for w in own[cut:])]), "s"))
+    sets = [{tuple(w[i: i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t, _ in rows)]
+    where = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            where.setdefault(x, []).append(i)
+    where = {x: np.array(at) for x, at in where.items()}
+    size, links = np.array([len(s) for s in sets]), []
+    for i, s in enumerate(sets):
+        both = np.bincount(np.concatenate([where[x] for x in s]), minlength=len(sets))
+        links += [(i, int(j)) for j in np.flatnonzero(both >= 0.8 * (size + size[i] - both)) if j > i]
+    assert len(links) == 1200 and all(b == a + 1 and a % 2 == 0 for a, b in links)
+    got = {r["id"]: r["cls"] for r in bagminhash.near_duplicates(table(spark, rows)).collect()}
+    assert [(a, b) for a, b in links if got[a] != got[b]] == [] and len(set(got.values())) == 1200
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
