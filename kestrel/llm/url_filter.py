@@ -1,7 +1,7 @@
 """URL filters (1): a path-template tree per host, DataFrame functions only.
 
 The urls of a host form a tree of path segments. Level by level, segments that
-are variable (numbers, and values that few of the branch's urls share) become
+are variable (numbers, and values that few urls share) become
 wildcards, sibling branches whose labelled shares don't differ significantly
 merge, and the subtrees go on as one. A template whose smoothed labelled purity
 is too low is rejected. Explicit rules come before the tree; the urls that they
@@ -10,6 +10,8 @@ judge are the labels that the tree learns from, unless others are given.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +19,10 @@ from .common import staged
 
 # (verdict, host and path prefix)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-MAX_DEPTH = 6          # deeper segments count as one
-MIN_SHARE = 0.05       # a value that fewer of its branch's urls have is variable
+MIN_SHARE = 0.05       # a value is literal from this share of its branch's urls,
+MIN_URLS = 20          # from so many urls,
+MIN_LABELS = 3         # or from so many labels on; others are variable
+NAMED = 21             # merged children that a template names; of more, the number follows
 Z_MERGE = 1.96         # siblings merge unless their shares differ by more standard errors
 SMOOTHING = 2.0        # weight of the neutral prior, in labels
 MIN_PURITY = 0.25      # least smoothed share of good labels
@@ -50,9 +54,9 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """Path segments with every digit run as ``{n}``; what lies beyond ``MAX_DEPTH`` is one segment."""
+    """Path segments with every digit run as ``{n}``."""
     plain = F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "{n}")
-    return F.split(plain, "/", MAX_DEPTH)
+    return F.split(plain, "/")
 
 
 def template_tree(urls: DataFrame) -> DataFrame:
@@ -63,37 +67,54 @@ def template_tree(urls: DataFrame) -> DataFrame:
     every level is written to the shared folder. Siblings in order of their
     smoothed share of good labels merge with the one before unless the two
     shares differ by ``Z_MERGE`` standard errors; branches without labels merge
-    with each other only. A branch has at most 1 / MIN_SHARE literal children
-    and a wildcard, which bounds the windows.
+    with each other only. Siblings of equal label counts always merge, so the
+    windows hold one row per different pair of counts. The walk goes on while
+    two paths share a branch; a path that is alone in it is completed at once.
     """
     good, bad = F.sum(F.when(F.col("label") == 1, 1).otherwise(0)), F.sum(F.when(F.col("label") == 0, 1).otherwise(0))
     state = staged(urls.groupBy("host", "segs").agg(F.count(F.lit(1)).alias("n"), good.alias("good"), bad.alias("bad"))
                    .withColumn("template", F.lit("")), "templates")
-    depth = state.agg(F.max(F.size("segs"))).first()[0] or 0
-    for level in range(depth):
+    done, level = [], 0
+    while True:
+        done.append(state.where(F.size("segs") <= level))
         seg = F.get("segs", F.lit(level))
-        here = state.where(F.size("segs") > level).withColumn("seg", seg)
-        values = here.groupBy("host", "template", "seg").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
-        branch = values.groupBy("host", "template").agg(F.sum("n").alias("all"))
-        named = values.join(branch, ["host", "template"]).withColumn(
-            "child", F.when((F.col("n") >= 2) & (F.col("n") >= MIN_SHARE * F.col("all")), F.col("seg")).otherwise("*"))
+        here = state.where(F.size("segs") > level)
+        branch = here.groupBy("host", "template").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("paths"))
+        here = staged(here.join(branch, ["host", "template"]), "branches")
+        left = F.slice("segs", level + 1, F.size("segs"))
+        alone = F.concat("template", F.lit("/"), F.array_join(F.transform(left, lambda x: F.when(F.col("n") >= 2, x).otherwise("*")), "/"))
+        done.append(here.where("paths = 1").withColumn("template", alone).select(*state.columns))
+        here = here.where("paths > 1")
+        if here.isEmpty():
+            break
+        values = here.withColumn("seg", seg).groupBy("host", "template", "seg").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")], F.first("all").alias("all"))
+        literal = (F.col("n") >= 2) & ((F.col("n") >= F.least(MIN_SHARE * F.col("all"), F.lit(MIN_URLS))) | (F.col("good") + F.col("bad") >= MIN_LABELS))
+        named = values.withColumn("child", F.when(literal, F.col("seg")).otherwise("*"))
         named = staged(named.select("host", "template", "seg", "child", "n", "good", "bad"), "children")
         kids = named.groupBy("host", "template", "child").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-        kids = kids.withColumn("labels", F.col("good") + F.col("bad"))
-        kids = kids.withColumn("share", (F.col("good") + SMOOTHING / 2) / (F.col("labels") + SMOOTHING))
-        w = Window.partitionBy("host", "template").orderBy((F.col("labels") > 0).cast("int"), "share", "child")
+        kids = staged(kids, "siblings")
+        ties = kids.groupBy("host", "template", "good", "bad").agg(F.count(F.lit(1)).alias("kids"))
+        ties = ties.withColumn("labels", F.col("good") + F.col("bad"))
+        ties = ties.withColumn("share", (F.col("good") + SMOOTHING / 2) / (F.col("labels") + SMOOTHING))
+        w = Window.partitionBy("host", "template").orderBy((F.col("labels") > 0).cast("int"), "share", "labels")
         before, labels_before = F.lag("share").over(w), F.lag("labels").over(w)
         error = F.sqrt(F.col("share") * (1 - F.col("share")) / (F.col("labels") + SMOOTHING) + before * (1 - before) / (labels_before + SMOOTHING))
         same = ((F.col("labels") > 0) == (labels_before > 0)) & ((F.col("labels") == 0) | (F.abs(F.col("share") - before) <= Z_MERGE * error))
-        kids = kids.withColumn("new", F.when(same, 0).otherwise(1)).withColumn("island", F.sum("new").over(w))
-        names = Window.partitionBy("host", "template", "island")
-        kids = kids.withColumn("name", F.array_join(F.sort_array(F.collect_set("child").over(names)), "|"))
-        step = named.join(kids.select("host", "template", "child", "name"), ["host", "template", "child"]).select("host", "template", "seg", "name")
-        step = step.withColumnsRenamed({"host": "_h", "template": "_t", "seg": "_g"})
-        joined = state.join(step, (F.size("segs") > level) & (state["host"] == step["_h"]) & (state["template"] == step["_t"]) & (seg == step["_g"]), "left")
-        state = staged(joined.select("host", "segs", "n", "good", "bad",
-                                     F.when(F.col("name").isNotNull(), F.concat("template", F.lit("/"), "name")).otherwise(F.col("template")).alias("template")),
-                       "templates")
+        ties = ties.withColumn("new", F.when(same, 0).otherwise(1)).withColumn("island", F.sum("new").over(w))
+        kids = kids.join(ties.select("host", "template", "good", "bad", "island"), ["host", "template", "good", "bad"])
+        kids = staged(kids.select("host", "template", "child", "island"), "islands")
+        # the smallest names tell islands apart; the limit of the window applies before its shuffle
+        first = kids.withColumn("rank", F.row_number().over(Window.partitionBy("host", "template", "island").orderBy("child"))).where(F.col("rank") <= NAMED)
+        first = first.groupBy("host", "template", "island").agg(F.array_join(F.sort_array(F.collect_list("child")), "|").alias("name"))
+        size = kids.groupBy("host", "template", "island").agg((F.count(F.lit(1)) - NAMED).alias("more"))
+        name = F.when(F.col("more") > 0, F.concat("name", F.lit("|+"), "more")).otherwise(F.col("name"))
+        islands = first.join(size, ["host", "template", "island"]).select("host", "template", "island", name.alias("name"))
+        step = (named.join(kids, ["host", "template", "child"]).join(islands, ["host", "template", "island"])
+                .select(F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("seg").alias("_g"), "name"))
+        joined = here.join(step, (here["host"] == step["_h"]) & (here["template"] == step["_t"]) & (seg == step["_g"]))
+        state = staged(joined.select("host", "segs", "n", "good", "bad", F.concat("template", F.lit("/"), "name").alias("template")), "templates")
+        level += 1
+    state = staged(reduce(DataFrame.unionByName, done), "templates")
     pooled = state.groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     pooled = pooled.withColumn("purity", (F.col("good") + SMOOTHING / 2) / (F.col("good") + F.col("bad") + SMOOTHING))
     return state.select("host", "segs", "template").join(pooled, ["host", "template"])
