@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bagminhash, decontaminate, fingerprint, lm_score, mixing, quality, substring, token_counts, url_filter, warc
+from . import bagminhash, decontaminate, fingerprint, hard_negatives, license_scan, lm_score, mixing, periodic_runs, quality, substring, token_counts, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,95 @@ FROM p LEFT JOIN h ON bytes >= 1000 AND p.html = h.html
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.archive_pages(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     return rows.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+NEGATIVES_SQL = """
+WITH p AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_sum([z[1] * z[2] FOR z IN list_zip(a.v, b.v)]) AS BIGINT) AS score
+  FROM p AS a JOIN p AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT pos.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY pos.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s ON pos.anchor_id = s.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"])
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    points = hard_negatives.integer_points(vectors.withColumn("label", flipped))
+    return hard_negatives.hard_negatives(points, F.col("id") % 100 == 0)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The texts of every tenth id (by crc32) from a word on repeated with a period of their own.
+
+    ``h = crc32(id)``, ``g = h div 10``; where ``h % 10 = 0`` each word ``i`` from ``a = g % n`` on becomes word
+    ``a + (i - a) % p``, ``p = 1 + (n - a) div (3 + g % 8)``. Null ids and texts without words stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"),
+                       F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)).alias("w"))
+    n = F.size("w")
+    a = (F.col("g") % F.greatest(n, F.lit(1))).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.col("g") % 8))).cast("int")
+    unit = F.slice("w", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    return rows.select("doc_id", F.when(n > 0, F.array_join(F.concat(F.slice("w", F.lit(1), a), tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs.periodic_runs(with_planted_runs(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
+    # runs come by start, then period, so the first of equal exponent is the contract's
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return (runs.withColumn("best", best)
+            .select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+                    F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+def _license_sql() -> str:
+    """The scan as regular expressions over the words, each with a blank after it."""
+    base = [t for t in license_scan.TEMPLATES if t.base]
+    found = ",\n         ".join(
+        f"CASE WHEN regexp_matches(t, '(^| ){license_scan.as_regex(t.markup)}') "
+        f"THEN {{'label': '{t.label}', 'm': {license_scan.mandatory_words(license_scan.parse(t.markup))}}} END" for t in license_scan.TEMPLATES)
+    place = " OR ".join("(" + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(license_scan.tokens(t.markup))) + ")" for t in base)
+    mine = ", ".join(f"CASE WHEN regexp_matches(t, '(^| ){license_scan.as_regex(t.markup)}') THEN '{t.label}' END" for t in base)
+    return f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '{license_scan.WORD}') AS w FROM documents),
+t AS (SELECT doc_id, w, array_to_string(w, ' ') || ' ' AS t, [i FOR i IN range(len(w)) IF {place}] AS places FROM d),
+m AS (
+  SELECT *, [x FOR x IN [{found}] IF x IS NOT NULL] AS found,
+         [x FOR x IN [{mine}] IF x IS NOT NULL] AS base FROM t)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+       CAST(list_min(places) AS BIGINT) AS first_word, CAST(list_max(places) AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(list_distinct(base)), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct([x.label FOR x IN found])), ','), '') AS labels,
+       1 - pow(2.0, -coalesce(list_max([x.m FOR x IN found]), 0)) AS score
+FROM m
+"""
+
+
+@query("op13_license_scan", _license_sql())
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = license_scan.summary(license_scan.license_matches(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")

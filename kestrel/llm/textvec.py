@@ -94,15 +94,19 @@ def is_space(data: np.ndarray) -> np.ndarray:
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document of each word, start, end) for words ``[^\\x20\\x09-\\x0D]+``."""
-    if not len(data):
+    return spans(~is_space(data), offsets)
+
+
+def spans(word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document of each word, start, end) where ``word`` flags the bytes of words."""
+    if not len(word):
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
-    word = ~is_space(data)
     first = word.copy()
     first[1:] &= ~word[:-1]
     last = word.copy()
     last[:-1] &= ~word[1:]
-    inner = offsets[(offsets > 0) & (offsets < len(data))]
+    inner = offsets[(offsets > 0) & (offsets < len(word))]
     first[inner] = word[inner]
     last[inner - 1] = word[inner - 1]
     starts = np.flatnonzero(first)
