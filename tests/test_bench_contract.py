@@ -25,6 +25,9 @@ def test_bench_prints_one_json_line():
 
 def test_entry_contract_lists_match():
     import __spark_entry__ as entry
+    from kestrel.plans.registry import ORACLES, QUERIES
+
     queries, oracles = entry.queries(), entry.oracle_sql()
-    assert set(oracles) <= set(queries) and len(queries) >= 60
-    assert set(queries) - set(oracles) == {"pca_2d", "abstract_pca"}
+    assert set(oracles) <= set(queries) and len(QUERIES) >= 60
+    assert set(QUERIES) <= set(queries) and set(ORACLES) <= set(oracles)
+    assert set(QUERIES) - set(ORACLES) == {"pca_2d", "abstract_pca"}

@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry
 from kestrel.plans.compare import compare
+from kestrel.plans.registry import QUERIES as ENGINE
 
 from .conftest import SF01
 
@@ -18,10 +19,10 @@ def test_query_matches_oracle(spark, name):
     assert res["values_match"], res
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(ENGINE) - set(ORACLES)))
 def test_rows_only_query_runs(spark, name):
-    df = QUERIES[name](spark, SF01)
-    assert df.count() >= 0
+    # their values are held against numpy in test_semantics and test_properties
+    assert QUERIES[name](spark, SF01).count() > 0
 
 
 def test_entry_smoke(spark):

@@ -2,13 +2,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from kestrel.operators import dedupe, load
+from kestrel.plans import all_queries
+from kestrel.plans.registry import QUERIES
 
 from .conftest import SF001
 
-QUERIES = entry.queries()
-PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+all_queries.load()
+PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroups", "MapInPandas", "MapInArrow", "PythonUDF")
 CROSS_OPERATORS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
