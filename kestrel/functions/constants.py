@@ -81,6 +81,10 @@ DQ_RANGE_RULES = {
 # --- fixed values: batch length allocation
 MIN_ALLOCATED_LENGTH = 5
 
+# --- fixed values: range of the calendar dimension
+DIM_DATE_FROM = "2010-01-01"
+DIM_DATE_TO = "2030-12-31"
+
 # --- fixed values: text features
 TFIDF_MAX_FEATURES = 2000
 TFIDF_MIN_DF = 2

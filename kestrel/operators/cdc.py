@@ -20,20 +20,20 @@ INSERT, UPDATE, NOOP = "insert", "update", "noop"
 
 
 def cdc_classify(stored: DataFrame, incoming: DataFrame, key: str = "safetyreportid", order: str = "seq",
-                 stored_date: str = "receivedate", bucket_width: int = 1 << 20) -> DataFrame:
+                 stored_date: str = "receivedate", bucket_width: int = 1 << 20, expected_keys: int | None = None) -> DataFrame:
     """CD1: classify every incoming record with an id as insert / update / noop.
 
     ``stored`` has one row per key with a typed DATE column ``stored_date``.
     The incoming modified date is ``receiptdate`` when non-empty, else
     ``receivedate`` ('yyyyMMdd'), typed; dates compare null-safely.
-    Adds ``modified`` (DATE) and ``change`` to the incoming columns.
+    Adds ``modified`` (DATE) and ``change`` to the incoming columns. ``expected_keys``: see ``load.keys_in``.
     """
     inc = incoming.filter(F.col(key).isNotNull() & (F.col(key) != ""))
     inc = inc.withColumn("modified", parse_fda_date(choose_modified("receiptdate", "receivedate")))
     inc = previous_in_key(inc, key, order, "modified", "_prev", "_has_prev", bucket_width)
     # only stored rows of ids in this batch take part (see ``keys_in``)
     st = keys_in(stored.select(key, F.col(stored_date).alias("_stored"), F.lit(True).alias("_exists")),
-                 inc.select(key).distinct(), key)
+                 inc.select(key).distinct(), key, expected_keys)
     j = inc.join(st, key, "left")
     prev = F.when(F.col("_has_prev"), F.col("_prev")).otherwise(F.col("_stored"))
     exists = F.col("_has_prev") | F.col("_exists").isNotNull()
@@ -53,7 +53,7 @@ def cdc_counts(classified: DataFrame) -> DataFrame:
 
 def cdc_apply(stored: DataFrame, classified: DataFrame, key: str = "safetyreportid", order: str = "seq",
               term: str = "ingredient_term", stored_date: str = "receivedate", payload: str | None = None,
-              loaded_at: str | None = None) -> DataFrame:
+              loaded_at: str | None = None, expected_keys: int | None = None) -> DataFrame:
     """CD2: the stored table after the batch.
 
     Per id: the date of its last incoming record; the payload of its last
@@ -82,7 +82,7 @@ def cdc_apply(stored: DataFrame, classified: DataFrame, key: str = "safetyreport
     # batch's key set, broadcast when small: the stored table is not shuffled)
     untouched = stored.join(batch_keys, key, "left_anti").select(
         key, term, stored_date, *extra, F.lit(None).cast("long").alias("last_change_seq"))
-    st = keys_in(stored, batch_keys, key).select(
+    st = keys_in(stored, batch_keys, key, expected_keys).select(
         key, F.col(term).alias("_st_term"), F.col(stored_date).alias("_st_date"),
         *[F.col(c).alias("_st_" + c) for c in extra], F.lit(True).alias("_st"))
     j = per_id.join(st, key, "left")

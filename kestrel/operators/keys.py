@@ -49,6 +49,25 @@ def dense_key(df: DataFrame, order: Sequence[str] | str, name: str, partitions:
     )
 
 
+def new_members(members: DataFrame, key_map: DataFrame, member: str, key: str, partitions: int | None = None) -> DataFrame:
+    """Rows (``key``, ``member``) for the members that the key map doesn't hold, numbered on from its largest key.
+
+    Members already in the map keep their key for good. The unseen ones are dealt by
+    hash, numbered by name within each part, and offset by the parts before (a
+    table of one row per part): any evaluation gives the same numbers, so
+    nothing is checkpointed. Null members get no key.
+    """
+    n = partitions or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    unseen = members.select(member).where(F.col(member).isNotNull()).distinct().join(key_map.select(member), member, "left_anti")
+    dealt = unseen.withColumn("_part", F.pmod(F.xxhash64(member), F.lit(n)))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))      # at most n rows
+    largest = key_map.select(F.coalesce(F.max(key), F.lit(0).cast("long"))).scalar()
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(member)))
+    return ranked.join(F.broadcast(offsets), "_part").select((largest + F.col("_off") + F.col("_rank")).cast("long").alias(key), member)
+
+
 def small_lookup(df: DataFrame) -> DataFrame:
     """Broadcast a lookup table whose size is bounded by construction.
 

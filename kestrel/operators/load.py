@@ -22,20 +22,64 @@ def _cols(x: Sequence[str] | str) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def keys_in(table: DataFrame, batch_keys: DataFrame, key: str) -> DataFrame:
+BROADCAST_KEYS = 200_000        # batches of more keys get a Bloom filter, as their keys may not be broadcast
+BLOOM_BITS_PER_KEY = 16
+BLOOM_MAX_WORDS = 1 << 20       # 8 MB; beyond, the filter lets more rows pass, but never drops one
+
+
+def bloom_words(batch_keys: DataFrame, key: str, n_keys: int) -> Column:
+    """A Bloom filter of the keys as a scalar subquery: an array of 64-bit words.
+
+    Register-blocked: a key sets four bits of one word, so a test reads one word.
+    Built by ``bit_or`` per word (reduced map-side); the result has at most ``BLOOM_MAX_WORDS`` words.
+    """
+    spark = batch_keys.sparkSession
+    n = _bloom_size(n_keys)
+    words = batch_keys.groupBy(_bloom_word(key, n).alias("i")).agg(F.bit_or(_bloom_mask(key)).alias("w"))
+    full = spark.range(n).join(words, F.col("id") == F.col("i"), "left").select("id", F.coalesce("w", F.lit(0).cast("long")).alias("w"))
+    return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "w"))), lambda x: x["w"])).scalar()
+
+
+def _bloom_size(n_keys: int) -> int:
+    return min(max(n_keys * BLOOM_BITS_PER_KEY // 64, 1), BLOOM_MAX_WORDS)
+
+
+def _bloom_word(key: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("long")
+
+
+def _bloom_mask(key: str) -> Column:
+    h = F.xxhash64(F.lit("bloom"), F.col(key))
+    one = F.lit(1).cast("long")
+    bits = [F.call_function("shiftleft", one, F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63).cast("long")).cast("int")) for i in range(4)]
+    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+
+
+def maybe_in(table: DataFrame, batch_keys: DataFrame, key: str, n_keys: int) -> DataFrame:
+    """The table's rows whose key may be in the batch, without a shuffle of the table: no row of the batch's keys is lost,
+    about 1 in 200 of the others passes."""
+    # one read of the word: the subquery's value is then tested per row inside the scan's stage
+    word = F.element_at(bloom_words(batch_keys, key, n_keys), (_bloom_word(key, _bloom_size(n_keys)) + 1).cast("int"))
+    return table.where(word.bitwiseAND(_bloom_mask(key)) == _bloom_mask(key))
+
+
+def keys_in(table: DataFrame, batch_keys: DataFrame, key: str, expected_keys: int | None = None) -> DataFrame:
     """The table's rows whose key occurs in the batch.
 
     The batch's key set is the small side: once AQE measures it below the
     broadcast threshold it is broadcast and the (large) table is filtered
-    map-side, without shuffling it; otherwise both sides shuffle on the key.
+    map-side, without shuffling it. A batch known to have more than ``BROADCAST_KEYS`` keys (``expected_keys``)
+    is first turned into a Bloom filter, so that of the table little more than the batch's own rows is shuffled for the exact join.
     """
+    if expected_keys is not None and expected_keys > BROADCAST_KEYS:
+        table = maybe_in(table, batch_keys, key, expected_keys)
     return table.join(batch_keys, key, "left_semi")
 
 
-def new_rows(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str] | str) -> DataFrame:
+def new_rows(target: DataFrame, batch: DataFrame, key: str, order: Sequence[str] | str, expected_keys: int | None = None) -> DataFrame:
     """Rows ``insert_if_absent`` would add: first per key in the batch, key not in the target."""
     first = first_per_key(drop_null_keys(batch, key), key, _cols(order))
-    present = keys_in(target.select(key), first.select(key), key)
+    present = keys_in(target.select(key), first.select(key), key, expected_keys)
     return first.join(present, key, "left_anti")
 
 

@@ -1,11 +1,11 @@
 """Star schema (D1-D9) and the OLAP queries over it.
 
-Dimensions get dense keys from ``dense_key`` (range-partitioned, no
+Dimensions get lasting keys from a key map (``keys.new_members``) or, without
+one, dense keys from ``dense_key`` (range-partitioned, no
 single-partition sort); facts carry their natural grain plus an ``xxhash64``
 key. Foreign keys resolve by left joins to the dimensions (miss -> null).
-The calendar dimension is bounded by the covered years, so it is broadcast;
-the other dimensions are left to AQE (broadcast when measured small,
-shuffle join otherwise).
+All dimensions, the calendar too, are left to AQE (broadcast when measured
+small, shuffle join otherwise): a calendar that follows the data grows with one wild date.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from ..functions.constants import DIM_SOURCE_ROWS
 from ..functions.dates import date_parts
 from ..functions.numeric import risk_weight
 from ..operators import clean, keys, scoring
+from ..operators.dedupe import first_per_key
+from ..operators.load import insert_if_absent
 
 
 def dim_date(dates: DataFrame, col: str) -> DataFrame:
@@ -48,30 +50,37 @@ def source_key(name: str):
     return F.lit({r[1]: r[0] for r in DIM_SOURCE_ROWS}[name]).cast("int")
 
 
-def dim_ingredient(registry_clean: DataFrame) -> DataFrame:
+def _keyed(df: DataFrame, member: str, key: str, key_map: DataFrame | None) -> DataFrame:
+    """The dimension's rows with their key: the lasting one of ``key_map``, or dense numbers of this very table."""
+    if key_map is None:
+        return keys.dense_key(df, [member], key)
+    return df.join(key_map.select(member, key), member, "left").select(key, *df.columns)
+
+
+def dim_ingredient(registry_clean: DataFrame, key_map: DataFrame | None = None) -> DataFrame:
     """D3 + H13: one row per standard name with its risk weight as decimal(4,2)."""
     df = registry_clean.select(
         "inci_name", "inci_name_std", "function", "regulatory_status",
         (F.col("concentration_limit") if "concentration_limit" in registry_clean.columns
          else F.lit(None).cast("string")).alias("concentration_limit"),
         risk_weight("regulatory_status").cast("decimal(4,2)").alias("risk_weight"))
-    return keys.dense_key(df, ["inci_name_std"], "ingredient_key")
+    return _keyed(df, "inci_name_std", "ingredient_key", key_map)
 
 
-def dim_product(labels: DataFrame, code: str = "product_code", category: str = "category") -> DataFrame:
+def dim_product(labels: DataFrame, code: str = "product_code", category: str = "category", key_map: DataFrame | None = None) -> DataFrame:
     """One row per product code (text); name, brand and country are not in the sources (null)."""
     df = clean.drop_null_keys(labels.select(F.col(code).cast("string").alias("product_code"),
                                             F.col(category).alias("category")), "product_code")
     df = df.groupBy("product_code").agg(F.min("category").alias("category"))
     df = df.select("product_code", F.lit(None).cast("string").alias("product_name"), "category",
                    F.lit(None).cast("string").alias("brand"), F.lit(None).cast("string").alias("country"))
-    return keys.dense_key(df, ["product_code"], "product_key")
+    return _keyed(df, "product_code", "product_key", key_map)
 
 
-def dim_reporter(reporters: DataFrame) -> DataFrame:
+def dim_reporter(reporters: DataFrame, key_map: DataFrame | None = None) -> DataFrame:
     """Country -> region, one row per country."""
     df = reporters.groupBy("reporter_country").agg(F.min("region").alias("region"))
-    return keys.dense_key(df, ["reporter_country"], "reporter_key")
+    return _keyed(df, "reporter_country", "reporter_key", key_map)
 
 
 def ingredient_key_by_ref(registry: DataFrame, synonyms: DataFrame, dim_ing: DataFrame) -> DataFrame:
@@ -86,7 +95,7 @@ def fact_safety_event(safety: DataFrame, ref_keys: DataFrame, dim_dt: DataFrame,
     """One row per report x ingredient; event_count 1; foreign keys by left joins."""
     rep = reporters.select("n_nationkey", "reporter_country").join(
         dim_rep.select("reporter_country", "reporter_key"), "reporter_country", "left")
-    f = (safety.join(F.broadcast(dim_dt.select("full_date", "date_key")), "full_date", "left")
+    f = (safety.join(dim_dt.select("full_date", "date_key"), "full_date", "left")
                .join(ref_keys, "cosing_ref_no", "left")
                .join(rep.select("n_nationkey", "reporter_key"), "n_nationkey", "left"))
     return f.select(
@@ -109,6 +118,19 @@ def fact_ingredient_evidence(evidence: DataFrame, processed: DataFrame, ref_keys
         F.col("evidence_score").cast("decimal(5,4)").alias("evidence_score"))
 
 
+def missing_keys(facts: dict[str, DataFrame]) -> DataFrame:
+    """Rows (fact, foreign_key, n_rows, n_missing): how many rows of each fact found no member, out-of-calendar dates among them."""
+    parts = []
+    for name, df in facts.items():
+        cols = [c for c in ("date_key", "ingredient_key", "product_key", "reporter_key") if c in df.columns]
+        counts = F.array(*[F.struct(F.lit(c).alias("foreign_key"), F.count_if(F.col(c).isNull()).alias("n_missing")) for c in cols])
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"), counts.alias("c")).select(F.lit(name).alias("fact"), "n_rows", F.inline("c")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("fact", "foreign_key", "n_rows", "n_missing")
+
+
 def fact_product_risk(risk: DataFrame, dim_prod: DataFrame, dim_dt: DataFrame, run_date: str) -> DataFrame:
     """One assessment per product per run date (A2-A4 measures)."""
     # the run date's key is one value: a scalar subquery over the calendar
@@ -129,8 +151,6 @@ def products_staging(labels: DataFrame, risk: DataFrame, target: DataFrame | Non
                          F.col("label_text").alias("ingredients_text"), F.col("product_code").alias("_ord")) \
                  .join(risk.select(F.col("product_code").cast("string").alias("product_code"), "risk_score"),
                        "product_code", "left")
-    from ..operators.dedupe import first_per_key
-    from ..operators.load import insert_if_absent
     if target is None:   # inserting into an empty table keeps the first row of each code
         cols = ["product_code", "category", "ingredients_text", "risk_score"]
         return first_per_key(rows.dropna(subset=["product_code"]), "product_code", ["_ord"]).select(*cols)
@@ -142,7 +162,7 @@ def products_staging(labels: DataFrame, risk: DataFrame, target: DataFrame | Non
 def q1_events_by_ingredient_year(fact: DataFrame, dim_ing: DataFrame, dim_dt: DataFrame) -> DataFrame:
     """Q1 (J5): adverse events by ingredient by year (inner joins), most first."""
     j = fact.join(dim_ing.select("ingredient_key", "inci_name_std"), "ingredient_key") \
-            .join(F.broadcast(dim_dt.select("date_key", "year")), "date_key")
+            .join(dim_dt.select("date_key", "year"), "date_key")
     return j.groupBy("inci_name_std", "year").agg(F.count(F.lit(1)).alias("events")) \
             .orderBy(F.desc("events"), "inci_name_std", "year")
 
@@ -198,7 +218,7 @@ def q3_as_written(dim_ing: DataFrame, events: DataFrame, evidence: DataFrame) ->
 
 
 __all__ = [
-    "dim_date", "dim_date_range", "dim_source", "dim_ingredient", "dim_product", "dim_reporter",
+    "missing_keys", "dim_date", "dim_date_range", "dim_source", "dim_ingredient", "dim_product", "dim_reporter",
     "ingredient_key_by_ref", "fact_safety_event", "fact_ingredient_evidence", "fact_product_risk",
     "products_staging", "q1_events_by_ingredient_year", "q2_high_risk_products", "q3_drill_across", "q3_as_written",
 ]

@@ -47,29 +47,37 @@ def stream_landing(spark: SparkSession, source_dir: str, schema, target_dir: str
             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
 
-def _typed_store(df: DataFrame) -> DataFrame:
-    return df.select("safetyreportid", "ingredient_term", "receivedate")
+EVENT_SCHEMA = "safetyreportid string, ingredient_term string, receivedate date"
 
 
 def stream_cdc(spark: SparkSession, source_dir: str, schema, table_path: str, checkpoint_dir: str | None = None,
-               fmt: str = "parquet", max_files_per_trigger: int | None = 1) -> StreamingQuery:
+               fmt: str = "parquet", max_files_per_trigger: int | None = 1000, buckets: int = publish.DEFAULT_BUCKETS) -> StreamingQuery:
     """R2: every micro-batch of incoming reports goes through CD1/CD2 and is published (K8).
 
-    Idempotent by batch id: the publish marker records the batch; a replayed
+    The table is bucketed by report id: a batch, of many landing files,
+    reads and rewrites only the buckets of its ids (a table published without buckets is laid out once).
+    Idempotent by batch id: the commit marker records the batch; a replayed
     batch (the stream died after publishing, before checkpointing) is
-    skipped, so no change is applied twice. Each version is validated with
-    the adverse-events rules before it is written.
+    skipped, so no change is applied twice. Rows are validated with
+    the adverse-events rules while they are written.
     """
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        marker = publish.current_marker(spark, table_path)
-        if marker is not None and marker.get("batch_id") is not None and marker["batch_id"] >= batch_id:
+        store = publish.CommitLog(spark, table_path)
+        found = store.snapshot()
+        if found is not None and found.batch_id is not None and found.batch_id >= batch_id:
             return
-        stored = publish.read_current(spark, table_path)
-        classified = cdc.cdc_classify(stored, batch)
-        nxt = _typed_store(cdc.cdc_apply(stored, classified))
-        if not publish.atomic_publish(nxt, table_path, table="adverse_events", batch_id=batch_id):
-            raise RuntimeError(f"publish of batch {batch_id} failed; the batch will be retried")
+        batch = batch.persist()     # read once for the touched buckets and for the merge
+        try:
+            def merge(stored: DataFrame) -> DataFrame:
+                return cdc.cdc_apply(stored, cdc.cdc_classify(stored, batch)).select("safetyreportid", "ingredient_term", "receivedate")
+
+            known = batch.where(F.col("safetyreportid").isNotNull() & (F.col("safetyreportid") != ""))
+            change = publish.merge_by_key(store, "", known, "safetyreportid", merge, EVENT_SCHEMA, buckets, "adverse_events")
+            if not store.commit({"": change}, batch_id=batch_id):
+                raise RuntimeError(f"publish of batch {batch_id} failed; the batch will be retried")
+        finally:
+            batch.unpersist()
 
     df = landing_stream(spark, source_dir, schema, fmt, max_files_per_trigger)
     ckpt = checkpoint_dir or default_checkpoint(spark, "cdc")

@@ -96,7 +96,7 @@ def test_stream_cdc_equals_batch(spark, scratch):
     cut = inc.select(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY seq)")).first()[0]
     inc.filter(F.col("seq") <= cut).coalesce(1).write.parquet(os.path.join(landing, "f1"))
     inc.filter(F.col("seq") > cut).coalesce(1).write.parquet(os.path.join(landing, "f2"))
-    q = stream.stream_cdc(spark, os.path.join(landing, "*"), inc.schema, table, ckpt)
+    q = stream.stream_cdc(spark, os.path.join(landing, "*"), inc.schema, table, ckpt, max_files_per_trigger=1)
     q.awaitTermination()
     got = publish.read_current(spark, table)
     want = cdc.cdc_apply(stored, cdc.cdc_classify(stored, inc)).drop("last_change_seq")
