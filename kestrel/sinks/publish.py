@@ -32,7 +32,6 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,12 +93,9 @@ class CommitLog:
         return f"{self.root}/_commits"
 
     def _markers(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(MARKER_SCHEMA).json(self.path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":    # anything else is no sign of an empty log
-                raise
+        if not fs.exists(self.spark, self.path):
             return None
+        return self.spark.read.schema(MARKER_SCHEMA).json(self.path)
 
     def last_version(self) -> int:
         """Number of the last commit of any table, 0 before the first."""
