@@ -1,16 +1,20 @@
 """Feature engineering at scale.
 
-TF-IDF is relational: (doc, term, tf) joined to per-term document counts;
-only the vocabulary (capped at ``max_features`` rows, so bounded) is
-broadcast. PCA fits with Spark ML (distributed covariance, a k x d matrix
-on the driver) and projects with built-in array expressions.
+TF-IDF weights are computed inside each document's row: only per-term counts are
+shuffled, and the vocabulary (capped at ``max_features`` terms, so bounded) goes
+to every task. PCA of short vectors fits with Spark ML; PCA of
+text multiplies the covariance with a narrow block of vectors, one aggregation
+per step, so no d x d matrix exists anywhere. Projections are built-in array expressions.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import TFIDF_MAX_FEATURES, TFIDF_MIN_DF
@@ -113,67 +117,170 @@ def rms_rows(df: DataFrame, key: str, vec: str) -> DataFrame:
              .select(key, F.col("pos").cast("long").alias("pos"), "value")
 
 
+def vocabulary(docs: DataFrame, tokens: str, max_features: int = TFIDF_MAX_FEATURES, min_df: int = TFIDF_MIN_DF) -> list[tuple[str, int]]:
+    """(term, documents) of the terms in at least ``min_df`` documents, the ``max_features`` most frequent (ties by term).
+
+    One shuffle, of per-term counts. Sorting a row's tokens marks every term's
+    first occurrence, so that total and document counts come from the same rows.
+    """
+    ordered = F.array_sort(F.filter(tokens, lambda t: t.isNotNull()))
+    # every token beside the one before it; the last pair has no token
+    marked = F.zip_with(ordered, F.concat(F.array(F.lit(None).cast("string")), ordered),
+                        lambda t, before: F.struct(t.alias("t"), (~t.eqNullSafe(before)).cast("int").alias("first")))
+    rows = docs.select(F.inline(marked)).where("t IS NOT NULL")
+    stats = rows.groupBy("t").agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df")).where(F.col("df") >= min_df)
+    return [(r["t"], r["df"]) for r in stats.orderBy(F.desc("total"), F.asc("t")).limit(max_features).collect()]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if its scan has fewer splits than there are cores (small or single-row-group files)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _array(values, sql_type: str) -> Column:
+    """A literal array (folded to a constant when the query is planned)."""
+    return F.from_json(F.lit(json.dumps(values)), sql_type)
+
+
+def tfidf_vectors(docs: DataFrame, tokens: str, vocab: list[tuple[str, int]], n_docs: int) -> DataFrame:
+    """M1 in the row: adds ``idx`` (vocabulary numbers, ascending) and ``val`` (L2-normalised weights) to every document.
+
+    Counts, idf and normalisation run row by row on sparse vectors; nothing is
+    shuffled. Documents without vocabulary terms have empty arrays, null tokens count as none.
+    """
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+    from pyspark.sql.functions.builtin import unwrap_udt
+
+    if not vocab:
+        return docs.withColumns({"idx": F.array().cast("array<int>"), "val": F.array().cast("array<double>")})
+    idf = [math.log((1 + n_docs) / (1 + df)) + 1 for _, df in vocab]
+    safe = docs.withColumn("_tokens", F.filter(F.coalesce(tokens, F.array().cast("array<string>")), lambda t: t.isNotNull()))
+    counted = CountVectorizerModel.from_vocabulary([t for t, _ in vocab], inputCol="_tokens", outputCol="_counts").transform(safe)
+    weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_weights").transform(counted)
+    unit = Normalizer(p=2.0, inputCol="_weights", outputCol="_unit").transform(weighted)
+    return unit.withColumn("_u", unwrap_udt(F.col("_unit"))).select(*docs.columns, F.col("_u.indices").alias("idx"), F.col("_u.values").alias("val"))
+
+
+def ranked_terms(vectors: DataFrame, keep: list[str], vocab: list[tuple[str, int]]) -> DataFrame:
+    """Rows (``keep``, rank, term, tfidf): each document's terms by weight (ties by term), ordered inside its row."""
+    terms = _array([t for t, _ in vocab], "array<string>")
+    pairs = F.transform(F.arrays_zip("idx", "val"), lambda x: F.struct((-x["val"]).alias("w"), F.element_at(terms, x["idx"] + 1).alias("term")))
+    ranked = vectors.select(*keep, F.posexplode(F.array_sort(pairs)).alias("pos", "x"))
+    return ranked.select(*keep, (F.col("pos") + 1).cast("long").alias("rank"), F.col("x.term").alias("term"), (-F.col("x.w")).alias("tfidf"))
+
+
+def _gram_batches(batches, block: np.ndarray):
+    """Partial sums of one task's rows: per coordinate the sum of x_i and of x_i * (x . block_j)."""
+    d, b = block.shape
+    s, g = np.zeros(d), np.zeros((d, b))
+    for batch in batches:
+        idx, val = (c.flatten().to_numpy(zero_copy_only=False) for c in (batch.column(0), batch.column(1)))
+        sizes = batch.column(0).value_lengths().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        s += np.bincount(idx, weights=val, minlength=d)
+        for j in range(b):
+            y = np.bincount(owner, weights=val * block[idx, j], minlength=len(sizes))
+            g[:, j] += np.bincount(idx, weights=val * y[owner], minlength=d)
+    seen = np.flatnonzero((s != 0) | (g != 0).any(axis=1))
+    columns = [pa.array(seen, pa.int32()), pa.array(s[seen]), *[pa.array(g[seen, j]) for j in range(b)]]
+    yield pa.RecordBatch.from_arrays(columns, ["i", "s", *[f"g{j}" for j in range(b)]])
+
+
+def gram_rows(vectors: DataFrame, block: np.ndarray) -> DataFrame:
+    """Rows ``i, s, g``: per coordinate the sum of ``x_i`` and the array of sums of ``x_i * (x . block_j)`` over all sparse rows (``idx, val``).
+
+    Linear algebra on Arrow batches: a task sums its rows into one d x b matrix, so
+    the shuffle has at most d rows per task. Coordinates that are 0 in every row have no row.
+    """
+    names = [f"g{j}" for j in range(block.shape[1])]
+    partial = vectors.select("idx", "val").mapInArrow(lambda it: _gram_batches(it, block), ", ".join(["i int, s double", *[f"{n} double" for n in names]]))
+    sums = partial.groupBy("i").agg(F.sum("s").alias("s"), *[F.sum(n).alias(n) for n in names])
+    return sums.select("i", "s", F.array(*names).alias("g"))
+
+
+def covariance_times(vectors: DataFrame, block: np.ndarray, n: int) -> np.ndarray:
+    """The sample covariance of the rows times ``block`` (d x b, both small); one distributed aggregation."""
+    d, b = block.shape
+    g, mean = np.zeros((d, b)), np.zeros(d)
+    for r in gram_rows(vectors, block).collect():       # at most d rows of b numbers
+        g[r["i"]], mean[r["i"]] = r["g"], r["s"] / n
+    return (g - n * np.outer(mean, mean @ block)) / (n - 1)
+
+
+def covariance_entries(df: DataFrame, vec: str, dim: int) -> DataFrame:
+    """M2: rows (i, j, covariance) of the first ``dim`` elements of an array column, ``i <= j`` from 0; missing elements count as 0.
+
+    The same aggregation that ``covariance_times`` runs, with the unit vectors as its block.
+    """
+    dense = df.select(F.sequence(F.lit(0), F.lit(dim - 1)).alias("idx"), F.transform(
+        F.sequence(F.lit(1), F.lit(dim)), lambda i: F.coalesce(F.get(vec, i - 1).cast("double"), F.lit(0.0))).alias("val"))
+    n = dense.select(F.count(F.lit(1))).scalar()
+    # every pair of coordinates, as those that are 0 everywhere have no sums (dim rows and dim x dim entries)
+    spark = df.sparkSession
+    rows = spark.range(dim).withColumnRenamed("id", "i").join(gram_rows(dense, np.eye(dim)), "i", "left").select(
+        "i", F.coalesce("s", F.lit(0.0)).alias("s"), F.coalesce("g", F.array_repeat(F.lit(0.0), dim)).alias("g"))
+    sums = F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x["s"])
+    entries = rows.select("i", "s", F.posexplode("g").alias("j", "g")).where("i <= j").withColumns({"_s": rows.agg(sums).scalar(), "_n": n})
+    covariance = (F.col("g") - F.col("s") * F.col("_s")[F.col("j")] / F.col("_n")) / F.nullif(F.col("_n") - 1, F.lit(0))
+    return entries.select("i", F.col("j").cast("long").alias("j"), covariance.alias("covariance"))
+
+
+def leading_components(times, d: int, k: int, block: int = 8, tol: float = 1e-10, max_steps: int = 60) -> np.ndarray:
+    """The ``k`` leading eigenvectors (d x k) of a symmetric matrix known by its products ``times(V)`` with narrow blocks.
+
+    Block power iteration that keeps all blocks seen as an orthonormal basis
+    and takes the best vectors of their span (Rayleigh-Ritz), so it needs few
+    products; it ends when ``times(v) = lambda v`` holds to ``tol`` or the basis is complete.
+    """
+    b = min(max(block, k), d)
+    q, _ = np.linalg.qr(np.random.default_rng(0).normal(size=(d, b)))
+    basis, images = np.zeros((d, 0)), np.zeros((d, 0))
+    for _ in range(max_steps):
+        w = times(q)
+        basis, images = np.hstack([basis, q]), np.hstack([images, w])
+        t = basis.T @ images
+        values, small = np.linalg.eigh((t + t.T) / 2)
+        values, small = values[::-1][:k], small[:, ::-1][:, :k]
+        vectors = basis @ small
+        if basis.shape[1] >= d or np.abs(images @ small - vectors * values).max() <= tol * max(abs(values[0]), 1e-300):
+            break
+        rest = w - basis @ (basis.T @ w)
+        rest -= basis @ (basis.T @ rest)
+        q, r = np.linalg.qr(rest)
+        keep = np.abs(np.diag(r)) > 1e-13 * max(np.abs(w).max(), 1e-300)
+        q = q[:, keep][:, : d - basis.shape[1]]
+        if not q.shape[1]:      # the span is invariant: its vectors are exact
+            break
+    return vectors
+
+
 def tfidf_pca(tokens_by_doc: DataFrame, doc: str, tokens: str, k: int = 2,
               max_features: int = TFIDF_MAX_FEATURES, min_df: int = TFIDF_MIN_DF) -> DataFrame:
     """M2 on text: centred PCA scores of the L2-normalised TF-IDF vectors of documents.
 
     ``tokens_by_doc`` has one row per document with its token array (null counts
-    as empty); every row gets its own scores, also where ids repeat or are null. The
-    vocabulary (at most ``max_features`` terms with document counts) is
-    computed relationally. Per-document vectors are built by Spark ML (term
-    counts -> times idf -> L2 rows) and stay sparse; their d x d covariance
-    (d <= max_features) is a distributed aggregation and is the only matrix
-    that reaches the driver, where numpy decomposes it. Scores are relational:
-    the weights joined to the (broadcast, d-row) loadings and summed per
-    document, then centred; each component's largest loading is made positive.
+    as empty); every row gets its own scores, also where ids repeat or are null.
+    The sparse vectors are written once to the shared folder; each step of the block
+    power iteration reads them for one product of the (never built) covariance with
+    a d x 8 block, whose d rows reach the driver. Scores are array expressions in the row,
+    centred afterwards; each component's largest loading is made positive.
     Fewer than two documents or ``k`` terms have no components: null scores.
     """
-    import numpy as np
-    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-    from pyspark.ml.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
-
-    spark = tokens_by_doc.sparkSession
-    # the vocabulary, the vectors, the weights and the centring all read the tokens: tokenise once;
-    # the checkpoint also fixes the row numbers
-    numbered = tokens_by_doc.select(F.monotonically_increasing_id().alias("_row"), doc,
-                                    F.coalesce(tokens, F.array().cast("array<string>")).alias(tokens))
-    tokens_by_doc = materialize(numbered)
-    exploded = tokens_by_doc.select("_row", F.explode(tokens).alias("_t"))
-    tf = exploded.groupBy("_row", "_t").agg(F.count(F.lit(1)).alias("_tf"))
-    stats = tf.groupBy("_t").agg(F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("_total"))
-    vocab = (stats.filter(F.col("_df") >= min_df).orderBy(F.desc("_total"), F.asc("_t"))
-             .limit(max_features).collect())                    # bounded by max_features
-    n_docs = tokens_by_doc.count()
     names = ["pca_x", "pca_y"] + [f"pca_{j}" for j in range(2, k)]
+    tokens_by_doc = spread(tokens_by_doc)
+    vocab = vocabulary(tokens_by_doc, tokens, max_features, min_df)
+    n_docs = tokens_by_doc.count()
     if n_docs < 2 or len(vocab) < k:
         return tokens_by_doc.select(doc, *[F.lit(None).cast("double").alias(n) for n in names])
-    terms = [r["_t"] for r in vocab]
-    idf = [math.log((1 + n_docs) / (1 + r["_df"])) + 1 for r in vocab]
-    counts = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens, outputCol="_cv")
-    weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_cv", outputCol="_w")
-    vectors = Normalizer(p=2.0, inputCol="_w", outputCol="_v").transform(
-        weighted.transform(counts.transform(tokens_by_doc.select(tokens)))).select("_v")
-    # the covariance makes several passes (count, column means, Gramian): keep the vectors for them
-    rows = MLUtils.convertVectorColumnsFromML(vectors, "_v").persist()
-    try:
-        cov = RowMatrix(rows, numRows=n_docs, numCols=len(terms)).computeCovariance().toArray()  # d x d
-    finally:
-        rows.unpersist()
-    _, eigvecs = np.linalg.eigh(cov)
-    comps = eigvecs[:, ::-1][:, :k]
+    vectors = materialize(tfidf_vectors(tokens_by_doc.select(doc, tokens), tokens, vocab, n_docs).select(doc, "idx", "val"))
+    comps = leading_components(lambda block: covariance_times(vectors, block, n_docs), len(vocab), k)
     comps = comps * np.where(comps[np.abs(comps).argmax(axis=0), range(k)] >= 0, 1.0, -1.0)
-    loadings = spark.createDataFrame(
-        [(t, *[float(comps[i, j]) for j in range(k)]) for i, t in enumerate(terms)],
-        ", ".join(["_t string"] + [f"_l{j} double" for j in range(k)]))
-    vocab_df = spark.createDataFrame([(r["_t"], r["_df"]) for r in vocab], "_t string, df long")
-    weights = tfidf_weights(tf.withColumnRenamed("_tf", "tf"), vocab_df, ["_row"], "_t", F.lit(n_docs))
-    dots = (weights.join(small_lookup(loadings), "_t")
-            .groupBy("_row").agg(*[F.sum(F.col("tfidf") * F.col(f"_l{j}")).alias(f"_d{j}") for j in range(k)]))
+    loadings = [_array(comps[:, j].tolist(), "array<double>") for j in range(k)]
     # documents without vocabulary terms are the zero vector: score 0 before centring
-    proj = tokens_by_doc.select("_row", doc).join(dots, "_row", "left").select(
-        doc, *[F.coalesce(f"_d{j}", F.lit(0.0)).alias(f"_d{j}") for j in range(k)])
+    dot = lambda c: F.aggregate(F.arrays_zip("idx", "val"), F.lit(0.0), lambda acc, x: acc + x["val"] * F.element_at(c, x["idx"] + 1))
+    proj = vectors.select(doc, *[dot(c).alias(f"_d{j}") for j, c in enumerate(loadings)])
     means = proj.select(F.array(*[F.avg(f"_d{j}") for j in range(k)])).scalar()
     proj = proj.withColumn("_means", means)
     return proj.select(doc, *[(F.col(f"_d{j}") - F.col("_means")[j]).alias(names[j]) for j in range(k)])

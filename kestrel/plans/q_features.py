@@ -25,26 +25,39 @@ TFIDF_CTES = {**ABSTRACT_FEATURE_CTES,
                               FROM tf JOIN vocab v ON v.term = tf.term)"""}
 
 
-def _weights(spark, sf_dir):
-    """(doc, pmid, term, tfidf) of every non-blank abstract; ``doc`` numbers the rows."""
-    v = Views(spark, sf_dir)
-    # numbered before the explode, so that all terms of a row share its number
-    docs = drop_blank(v.abstracts(), "abstract").withColumn("doc", F.monotonically_increasing_id())
-    toks = docs.select("doc", "pmid", F.explode(clean_tokens("abstract")).alias("term"))
-    n_docs = abstracts_processed_df(v).select(F.count(F.lit(1))).scalar()
-    return features.tfidf(toks, ["doc", "pmid"], "term", n_docs)
+def _vectors(spark, sf_dir):
+    """The non-blank abstracts' (pmid, idx, val) and their vocabulary; a document is a row."""
+    texts = drop_blank(Views(spark, sf_dir).abstracts(), "abstract").select("pmid", "abstract")
+    docs = features.spread(texts).select("pmid", clean_tokens("abstract").alias("tokens"))
+    vocab = features.vocabulary(docs, "tokens")
+    return features.tfidf_vectors(docs, "tokens", vocab, texts.count()), vocab
 
 
 @query("tfidf_top_terms", with_views(
     """SELECT pmid, row_number() OVER (PARTITION BY doc ORDER BY tfidf DESC, term) AS rank, term, tfidf FROM weights""",
     "abstracts_v", extra=TFIDF_CTES))
 def q_tfidf_top_terms(spark, sf_dir):
-    return features.top_terms(_weights(spark, sf_dir), ["doc", "pmid"], "term", "tfidf", None).select("pmid", "rank", "term", "tfidf")
+    vectors, vocab = _vectors(spark, sf_dir)
+    return features.ranked_terms(vectors, ["pmid"], vocab)
 
 
 @query("tfidf_weights", with_views("SELECT pmid, term, tfidf FROM weights", "abstracts_v", extra=TFIDF_CTES))
 def q_tfidf_weights(spark, sf_dir):
-    return _weights(spark, sf_dir).select("pmid", "term", "tfidf")
+    vectors, vocab = _vectors(spark, sf_dir)
+    return features.ranked_terms(vectors, ["pmid"], vocab).select("pmid", "term", "tfidf")
+
+
+@query("pca_covariance", """
+WITH e AS (SELECT [coalesce(x, 0) FOR x IN CAST(embedding AS DOUBLE[])] AS e FROM embeddings WHERE embedding IS NOT NULL),
+d AS (SELECT max(len(e)) AS d FROM e),
+p AS (SELECT row_number() OVER () AS r, e FROM (SELECT CASE WHEN embedding IS NULL THEN [] ELSE [coalesce(x, 0) FOR x IN CAST(embedding AS DOUBLE[])] END AS e
+                                                FROM embeddings)),
+x AS (SELECT r, i, coalesce(e[i + 1], 0) AS v FROM p, (SELECT unnest(range(d)) AS i FROM d))
+SELECT a.i, b.i AS j, covar_samp(a.v, b.v) AS covariance FROM x AS a JOIN x AS b ON a.r = b.r AND a.i <= b.i GROUP BY a.i, b.i""")
+def q_pca_covariance(spark, sf_dir):
+    emb = Views(spark, sf_dir).table("embeddings", ["embedding"])
+    dim = emb.select(F.max(F.size("embedding"))).first()[0]
+    return features.covariance_entries(emb, "embedding", dim)
 
 
 @query("pca_2d")
@@ -55,7 +68,7 @@ def q_pca_2d(spark, sf_dir):
 
 @query("abstract_pca")
 def q_abstract_pca(spark, sf_dir):
-    docs = drop_blank(Views(spark, sf_dir).abstracts(), "abstract")
+    docs = features.spread(drop_blank(Views(spark, sf_dir).abstracts(), "abstract").select("pmid", "abstract"))
     return features.tfidf_pca(docs.select("pmid", clean_tokens("abstract").alias("tokens")), "pmid", "tokens")
 
 

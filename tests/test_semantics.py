@@ -415,3 +415,30 @@ def test_tfidf_and_text_pca_keep_rows_with_repeated_and_null_ids(spark):
     want = xc @ np.array([vt[j] * (1 if vt[j][np.abs(vt[j]).argmax()] >= 0 else -1) for j in range(2)]).T
     near = lambda s: (s[0] or "", round(s[1], 6) + 0.0, round(s[2], 6) + 0.0)
     assert sorted(map(near, scores)) == sorted(near((p, *w)) for (p, _), w in zip(rows, want))
+
+
+def test_leading_components_of_known_matrices():
+    from kestrel.operators.features import leading_components
+
+    rng = np.random.default_rng(3)
+    for d, decay in ((2, 1.0), (5, 0.5), (40, 0.9), (300, 0.98)):
+        q, _ = np.linalg.qr(rng.normal(size=(d, d)))
+        m = (q * decay ** np.arange(d)) @ q.T
+        steps = []
+        got = leading_components(lambda v: steps.append(v.shape[1]) or m @ v, d, 2)
+        vals, vecs = np.linalg.eigh(m)
+        if decay < 1:
+            assert np.abs(np.abs(got.T @ vecs[:, ::-1][:, :2]) - np.eye(2)).max() < 1e-6
+        assert sum(steps) <= max(d, 8 * 60)
+    low = np.outer(np.arange(30.0), np.arange(30.0))            # rank one: the second component is any orthogonal vector
+    got = leading_components(lambda v: low @ v, 30, 2)
+    assert abs(got[:, 0] @ got[:, 1]) < 1e-8 and abs(abs(got[:, 0] @ np.arange(30.0)) / np.linalg.norm(np.arange(30.0)) - 1) < 1e-9
+
+
+def test_covariance_entries_with_gaps(spark):
+    df = spark.createDataFrame([([1.0, None, 3.0],), ([2.0],), (None,), ([0.5, 4.0, 0.0],)], "v array<double>")
+    x = np.array([[1, 0, 3], [2, 0, 0], [0, 0, 0], [0.5, 4, 0]])
+    want = np.cov(x.T)
+    got = {(r.i, r.j): r.covariance for r in features.covariance_entries(df, "v", 4).collect()}
+    assert len(got) == 10 and all(got[i, j] == pytest.approx(want[i, j]) for i in range(3) for j in range(i, 3))
+    assert got[0, 3] == 0 and all(r.covariance is None for r in features.covariance_entries(df.limit(1), "v", 2).collect())
