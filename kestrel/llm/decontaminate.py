@@ -16,6 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -222,9 +223,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def _indexes(benchmark: DataFrame, item_col: str, item_text: str, q: int, rate: float, index_bytes: int) -> list:
     """Broadcast indexes of the benchmark's blocks (one block unless it exceeds ``index_bytes``)."""
+    def lower(batches):     # the routine that lowers the documents, as languages differ in it (final sigma, dotted i)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.utf8_lower(batch.column(1))], names=["item", "t"])
+
     items = (benchmark.select(F.col(item_col).cast("long").alias("item"),
-                              F.trim(F.lower(F.regexp_replace(text_of(item_text), r"[\x20\x09-\x0D]+", " "))).alias("t"))
-             .groupBy("t").agg(F.min("item").alias("item")).where(F.length("t") >= q))
+                              F.trim(F.regexp_replace(text_of(item_text), r"[\x20\x09-\x0D]+", " ")).alias("t"))
+             .mapInArrow(lower, "item long, t string").groupBy("t").agg(F.min("item").alias("item")).where(F.length("t") >= q))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-int(total) // index_bytes))
     out = []

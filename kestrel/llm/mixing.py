@@ -185,18 +185,20 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Within a shard the rows are in random order by ``position_key`` (the local
     shuffle; write with ``partitionBy('shard')`` and sort by it). ``take_words``
     is below the row's words only for the document where a source's target ends.
-    Rows equal in id and size are matched to their takes one by one.
+    Rows equal in id and size are matched to their takes one by one. Where ``docs`` has a
+    column of one of these names, the added one gets ``_`` at its end. Rows of null or empty text aren't taken; an empty table gives none.
     """
     takes = mix(docs, id_col, text_col, source_col, **options)
-    names = {c: fresh(docs, c) for c in ("_id", "_size", "_n", "_source")}
-    nth = lambda cols: F.row_number().over(Window.partitionBy(*cols).orderBy(cols[0]))
-    t = takes.where(F.size("shards") > 0).select(F.col("id").alias("_tid"), F.col("size").alias("_tsize"), F.col("source").alias("_tsource"),
-                                                 "key", "shards", F.col("taken").alias("_taken"))
-    t = t.withColumn("_tn", F.row_number().over(Window.partitionBy("_tid", "_tsize", "_tsource").orderBy(F.desc("_taken"))))
-    d = docs.withColumn(names["_id"], F.col(id_col).cast("long")).withColumn(names["_size"], words(text_col)).withColumn(names["_source"], F.col(source_col))
-    d = d.withColumn(names["_n"], nth([names["_id"], names["_size"], names["_source"]]))
-    cond = (d[names["_id"]].eqNullSafe(t["_tid"]) & (d[names["_size"]] == t["_tsize"]) & d[names["_source"]].eqNullSafe(t["_tsource"])
-            & (d[names["_n"]] == t["_tn"]))
-    j = d.join(t, cond).select(*docs.columns, names["_size"], "_taken", "key", F.posexplode("shards").alias("_copy", "shard"))
-    take = F.least(F.col(names["_size"]), F.col("_taken") - F.col("_copy") * F.col(names["_size"]))
-    return j.select(*docs.columns, "shard", F.xxhash64("key", "shard", "_copy").alias("position_key"), take.alias("take_words"))
+    inner = ("_id", "_size", "_source", "_n", "_tid", "_tsize", "_tsource", "_tn", "_taken", "_key", "_shards", "_copy", "shard", "position_key", "take_words")
+    c = {x: fresh(docs, x) for x in inner}
+    nth = lambda cols, order: F.row_number().over(Window.partitionBy(*cols).orderBy(order))
+    t = takes.where(F.size("shards") > 0).select(F.col("id").alias(c["_tid"]), F.col("size").alias(c["_tsize"]), F.col("source").alias(c["_tsource"]),
+                                                 F.col("key").alias(c["_key"]), F.col("shards").alias(c["_shards"]), F.col("taken").alias(c["_taken"]))
+    t = t.withColumn(c["_tn"], nth([c["_tid"], c["_tsize"], c["_tsource"]], F.desc(c["_taken"])))
+    d = docs.withColumns({c["_id"]: F.col(id_col).cast("long"), c["_size"]: words(text_col), c["_source"]: F.col(source_col)})
+    d = d.withColumn(c["_n"], nth([c["_id"], c["_size"], c["_source"]], F.col(c["_id"])))
+    cond = (d[c["_id"]].eqNullSafe(t[c["_tid"]]) & (d[c["_size"]] == t[c["_tsize"]]) & d[c["_source"]].eqNullSafe(t[c["_tsource"]])
+            & (d[c["_n"]] == t[c["_tn"]]))
+    j = d.join(t, cond).select(*docs.columns, c["_size"], c["_taken"], c["_key"], F.posexplode(c["_shards"]).alias(c["_copy"], c["shard"]))
+    take = F.least(F.col(c["_size"]), F.col(c["_taken"]) - F.col(c["_copy"]) * F.col(c["_size"]))
+    return j.select(*docs.columns, c["shard"], F.xxhash64(c["_key"], c["shard"], c["_copy"]).alias(c["position_key"]), take.alias(c["take_words"]))

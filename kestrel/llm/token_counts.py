@@ -11,6 +11,8 @@ and the tokens that this document already had in the blocks before.
 from __future__ import annotations
 
 import base64
+import re
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +27,35 @@ EOD = 50_256               # free in that vocabulary
 BLOCK_TOKENS = 1 << 16
 
 
+# The white space of the vocabulary's pattern. Its matcher can't take back long runs of it, so these are cut out first.
+BLANKS = re.compile("[\\t-\\r \\x85\\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
+
+@cache
 def _encoding(path: str):
+    """The tokenizer, and the same one without its pattern: the whole input is one piece."""
     import tiktoken
 
     pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # the pattern that belongs to the vocabulary
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tuple(tiktoken.Encoding(name, pat_str=p, mergeable_ranks=ranks, special_tokens={}) for name, p in (("own", pattern), ("piece", r"[\s\S]+")))
+
+
+def encode(text: str, path: str = TOKENIZER) -> list[int]:
+    """The text's tokens, also where it holds runs of white space of any length.
+
+    The pattern takes such a run as one piece, less its last character if
+    a word follows; nothing else reaches into it, so the parts are encoded on their own.
+    """
+    enc, piece = _encoding(path)
+    out, at = [], 0
+    for m in BLANKS.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        out += enc.encode_ordinary(text[at: m.start()])
+        out += piece.encode_ordinary(text[m.start(): end])
+        at = end
+    return out + enc.encode_ordinary(text[at:])
 
 
 def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, eod: int = EOD,
@@ -48,7 +72,6 @@ def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     width = np.dtype("<u2") if eod < 1 << 16 else np.dtype("<u4")
 
     def run(batches):
-        enc = _encoding(tokenizer)
         file_id, ordinal, block, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
 
         def out(kind, position, ids, tokens):
@@ -62,7 +85,7 @@ def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield out("doc", range(ordinal, ordinal + len(ids)), ids, [None] * len(ids))
             ordinal += len(ids)
             for text in batch.column("text"):
-                held.append(np.array([*enc.encode_ordinary(text.as_py()), eod], dtype=width))
+                held.append(np.array([*encode(text.as_py(), tokenizer), eod], dtype=width))
                 size += len(held[-1])
                 if size >= 8 * block_tokens:
                     flat = np.concatenate(held)
