@@ -52,18 +52,19 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix (2): a row per copy taken, in the shuffled order of every shard.
 
-    Adds ``shard``, ``position_key``, ``take_words``. The text of the document
+    Adds ``shard``, ``position_key``, ``take_words`` (lengthened by ``_`` where the documents have such a column). The text of the document
     where a source's target ends is cut after its last word taken; ``n_chars``
     follows the text.
     """
     mixed = mixing.mixed_documents(docs)
+    shard, position, take = (fresh(docs, c) for c in ("shard", "position_key", "take_words"))
     # every piece is a word with the blanks before it
     pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    part = F.col("take_words") < mixing.words("text")
-    out = {"text": F.when(part, F.array_join(F.slice(pieces, F.lit(1), F.col("take_words").cast("int")), "")).otherwise(F.col("text"))}
+    part = F.col(take) < mixing.words("text")
+    out = {"text": F.when(part, F.array_join(F.slice(pieces, F.lit(1), F.col(take).cast("int")), "")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(part, F.length(out["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return mixed.withColumns(out).orderBy("shard", "position_key")
+    return mixed.withColumns(out).orderBy(shard, position)
 
 
 STAGES = [
