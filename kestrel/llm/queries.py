@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bagminhash, decontaminate, fingerprint, hard_negatives, license_scan, lm_score, mixing, periodic_runs, quality, substring, token_counts, url_filter, warc
+from . import bagminhash, decontaminate, fingerprint, hard_negatives, license_scan, lm_corpus, mixing, periodic_runs, quality, substring, token_counts, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,11 +112,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_lm_scoring")
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    # the merge hint keeps one plan for every number of labels
-    target = docs.hint("merge").join(trusted_positives(spark, sf_dir).distinct(), "doc_id", "left_semi")
-    model = lm_score.train(docs, target)
-    scored = lm_score.score_documents(docs, model)
+    scored = lm_corpus.score_corpus(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), trusted_positives(spark, sf_dir))
     return scored.select(F.col("id").alias("doc_id"), "n_tokens", "target_loss", "background_loss", "score")
 
 
