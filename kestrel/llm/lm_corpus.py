@@ -13,10 +13,12 @@ pairs of tokens; then every chunk scores its documents by itself.
 A key occurs once per chunk however frequent it is, so no part is hot; parts
 hold about ``PART_KEYS`` asked keys, a task one part or one chunk at a time.
 All tables grow with the corpus and none is gathered but the 16 shape classes and the totals.
+The chunks are stored bucketed by their number, so answers are joined to them without moving them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import staged, text_of
+from .common import staged, staging_path, text_of
 from .lm_score import ADD, EDGE, MIN_COUNT, SHAPES, WEIGHT, _pair_key, word_keys
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 PART_KEYS = 2_000_000
 
 ASK = "part int, chunk long, keys binary, b binary, t binary"
@@ -61,23 +63,39 @@ def unpack_keys(raw: bytes) -> np.ndarray:
 
 
 def chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``chunk, ids, sizes, keys, tokens``: the documents' ids and token counts, the chunk's distinct word keys, all tokens as their numbers."""
+    """``chunk, ids, sizes, keys, tokens``: the documents' ids and token counts, the chunk's distinct word keys, most frequent first, all tokens as their numbers."""
 
     def run(batches):
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             for a, b, data, off in tv.chunks(batch.column("text"), lower=True, chunk_bytes=CHUNK_BYTES):
                 doc, key = word_keys(data, off)
-                keys, tokens = np.unique(key, return_inverse=True)
+                keys, tokens, n = np.unique(key, return_inverse=True, return_counts=True)
+                order = np.argsort(-n, kind="stable")     # small numbers for frequent words take less room
+                rank = np.empty_like(order)
+                rank[order] = np.arange(len(order))
+                keys, tokens = keys[order], rank[tokens]
                 sizes = np.bincount(doc, minlength=b - a)
                 ids = batch.column("id").slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk]), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([pack(sizes)]), pa.array([pack_keys(keys)]),
+                    [pa.array([chunk]), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([pack(sizes)]), pa.array([keys.tobytes()]),
                      pa.array([pack(tokens)])], ["chunk", "ids", "sizes", "keys", "tokens"])
                 chunk += 1
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    return src.mapInArrow(run, "chunk long, ids array<long>, sizes binary, keys binary, tokens binary")
+    rows = src.mapInArrow(run, "chunk long, ids array<long>, sizes binary, keys binary, tokens binary")
+    name, n = f"lm_chunks_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.bucketBy(n, "chunk").sortBy("chunk").option("path", staging_path(docs.sparkSession, name)).saveAsTable(name)
+    return docs.sparkSession.table(name)
+
+
+def _chunk(r: dict):
+    """Sorted distinct keys, all tokens as numbers of these, the documents' sizes."""
+    keys = np.frombuffer(r["keys"], dtype=np.uint64)
+    order = np.argsort(keys)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    return keys[order], rank[unpack(r["tokens"]).astype(np.int64)], unpack(r["sizes"]).astype(np.int64)
 
 
 def _blocks(chunk: int, keys: np.ndarray, b: np.ndarray, t: np.ndarray, bits: int) -> pa.RecordBatch:
@@ -101,19 +119,24 @@ def _counts(tokens: np.ndarray, sizes: np.ndarray, target: list[int] | None, n:
 def _ask_words(bits: int):
     def run(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                keys, tokens = unpack_keys(r["keys"]), unpack(r["tokens"]).astype(np.int64)
-                yield _blocks(r["chunk"], keys, *_counts(tokens, unpack(r["sizes"]).astype(np.int64), r["target"], len(keys)), bits)
+            for r in _rows(batch):
+                keys, tokens, sizes = _chunk(r)
+                yield _blocks(r["chunk"], keys, *_counts(tokens, sizes, r["target"], len(keys)), bits)
 
     return run
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row after the other, so that only one is held as Python objects."""
+    for i in range(batch.num_rows):
+        yield {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
+
+
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
     """Rows of sorted batches, all those of one key at a time."""
     held: list[dict] = []
     for batch in batches:
-        for i in range(batch.num_rows):
-            r = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
+        for r in _rows(batch):
             if held and held[0][key] != r[key]:
                 yield held
                 held = []
@@ -147,26 +170,20 @@ def _answered(asks: DataFrame, n_parts: int) -> DataFrame:
     return asks.repartition(n_parts, "part").sortWithinPartitions("part", "chunk").mapInArrow(_totals, ANSWER)
 
 
-def _by_chunk(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
-    """Each chunk's row (kind 0) followed by its answers (kinds 1, 2) in the order of parts."""
-    cols = ["chunk", "kind", "part", "ids", "sizes", "keys", "tokens", "target", "b", "t"]
-    rows = chunks.withColumns({"kind": F.lit(0), "part": F.lit(0), "b": F.lit(None).cast("binary"), "t": F.lit(None).cast("binary")}).select(*cols)
-    for i, a in enumerate(answers):
-        empty = {c: F.lit(None).cast(chunks.schema[c].dataType) for c in cols[3:8]}
-        rows = rows.unionByName(a.where("chunk IS NOT NULL").withColumns({"kind": F.lit(i + 1), **empty}).select(*cols))
-    return rows.repartition("chunk").sortWithinPartitions("chunk", "kind", "part")
+def _with(chunks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
+    """The chunks with their answers, an array in the order of parts; the answers are dealt to the chunks' buckets."""
+    mine = answers.where("chunk IS NOT NULL").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("part", "b", "t"))).alias(name))
+    return chunks.join(mine.hint("merge"), "chunk")
 
 
-def _read_chunk(rows: list[dict], classes: tuple[np.ndarray, np.ndarray]):
-    """``sizes``, the target documents, per token of the chunk its vocabulary number, and per distinct word (token, ub, ut)."""
-    head = rows[0]
-    keys, tokens, sizes = unpack_keys(head["keys"]), unpack(head["tokens"]).astype(np.int64), unpack(head["sizes"]).astype(np.int64)
-    ub, ut = (np.concatenate([unpack(r[c]) for r in rows if r["kind"] == 1]) for c in "bt")
+def _read_chunk(r: dict, classes: tuple[np.ndarray, np.ndarray]):
+    """``sizes``, per token of the chunk its word's number, and per distinct word (token, ub, ut)."""
+    keys, tokens, sizes = _chunk(r)
+    ub, ut = (np.concatenate([unpack(x[c]) for x in r["words"]]) for c in "bt")
     rare = (ub < MIN_COUNT) & (keys != EDGE)
     shape = (keys & np.uint64(15)).astype(np.int64)
     token = np.where(rare, shape.astype(np.uint64) + np.uint64(1), keys)
-    ub, ut = np.where(rare, classes[0][shape], ub), np.where(rare, classes[1][shape], ut)
-    return sizes, head["target"], tokens, token, ub, ut
+    return sizes, tokens, token, np.where(rare, classes[0][shape], ub), np.where(rare, classes[1][shape], ut)
 
 
 def _pairs(tokens: np.ndarray, sizes: np.ndarray, token: np.ndarray):
@@ -182,23 +199,22 @@ def _pairs(tokens: np.ndarray, sizes: np.ndarray, token: np.ndarray):
 
 def _ask_pairs(bits: int, classes):
     def run(batches):
-        for rows in _groups(batches, "chunk"):
-            sizes, target, tokens, token, _, _ = _read_chunk(rows, classes)
+        for r in (r for batch in batches for r in _rows(batch)):
+            sizes, tokens, token, _, _ = _read_chunk(r, classes)
             keys, at, _ = _pairs(tokens, sizes, token)
-            yield _blocks(rows[0]["chunk"], keys, *_counts(at, sizes, target, len(keys)), bits)
+            yield _blocks(r["chunk"], keys, *_counts(at, sizes, r["target"], len(keys)), bits)
 
     return run
 
 
 def _score(classes, nb: int, nt: int, types: int):
     def run(batches):
-        for rows in _groups(batches, "chunk"):
-            sizes, _, tokens, token, ub, ut = _read_chunk(rows, classes)
+        for r in (r for batch in batches for r in _rows(batch)):
+            sizes, tokens, token, ub, ut = _read_chunk(r, classes)
             _, at, before = _pairs(tokens, sizes, token)
-            pb, pt = (np.concatenate([unpack(r[c]) for r in rows if r["kind"] == 2])[at].astype(np.float64) for c in "bt")
-            # the opening edge is as frequent as the closing one, which ends every document
-            edge = int(np.searchsorted(token, EDGE)) if EDGE in token else 0
-            context = np.where(before < 0, edge, before)
+            pb, pt = (np.concatenate([unpack(x[c]) for x in r["pairs"]])[at].astype(np.float64) for c in "bt")
+            # the opening edge is as frequent as the closing one, which ends every document and has the smallest key
+            context = np.maximum(before, 0)
 
             def loss(pair, n, total):
                 alone = (n[tokens] + ADD) / (total + ADD * types)
@@ -209,7 +225,7 @@ def _score(classes, nb: int, nt: int, types: int):
             lt, lb = loss(pt, ut.astype(np.float64), nt), loss(pb, ub.astype(np.float64), nb)
             starts = np.cumsum(sizes) - sizes
             st, sb = np.add.reduceat(lt, starts) / sizes, np.add.reduceat(lb, starts) / sizes
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0]["ids"], pa.int64()), pa.array(sizes), pa.array(st), pa.array(sb), pa.array(st - sb)],
+            yield pa.RecordBatch.from_arrays([pa.array(r["ids"], pa.int64()), pa.array(sizes), pa.array(st), pa.array(sb), pa.array(st - sb)],
                                              ["id", "n_tokens", "target_loss", "background_loss", "score"])
 
     return run
@@ -227,23 +243,23 @@ def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
     the vocabulary; texts are never cut (one text is within a chunk whatever its length); an empty table gives none; other columns aren't read.
     """
     spark = docs.sparkSession
-    chunks = staged(chunk_table(docs, id_col, text_col), "lm-chunks")
+    chunks = chunk_table(docs, id_col, text_col)
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("id")).where("id IS NOT NULL").distinct()
     # only ids travel to the target's ids, not texts; a list of at most CHUNK_ROWS numbers per chunk comes back
     flagged = (chunks.select("chunk", F.posexplode("ids").alias("pos", "id")).join(ids, "id", "left_semi")
                .groupBy("chunk").agg(F.collect_list("pos").alias("target")))
-    chunks = staged(chunks.join(flagged, "chunk", "left").select("chunk", "ids", "sizes", "keys", "tokens", "target"), "lm-flagged")
+    flagged = chunks.join(staged(flagged, "lm-targets").hint("merge"), "chunk", "left")
     n_chunks, n_bytes = chunks.agg(F.count(F.lit(1)), F.sum(F.octet_length("tokens"))).first()
     if not n_chunks:
         return spark.createDataFrame([], "id long, n_tokens long, target_loss double, background_loss double, score double")
     # a token takes a byte or more of its chunk: at most so many keys are asked for
     bits = max(4, int(2 * n_bytes // PART_KEYS).bit_length())
     n_parts = min(1 << bits, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 4))
-    words = staged(_answered(chunks.mapInArrow(_ask_words(bits), ASK), n_parts), "lm-words")
+    words = staged(_answered(flagged.select("chunk", "sizes", "keys", "tokens", "target").mapInArrow(_ask_words(bits), ASK), n_parts), "lm-words")
     sums = sum(unpack(r["b"]).astype(np.int64) for r in words.where("chunk IS NULL").select("b").toLocalIterator())
     nb, nt, vocabulary = (int(x) for x in sums[:3])
     classes = (sums[3: 3 + SHAPES].astype(np.uint64), sums[3 + SHAPES:].astype(np.uint64))
-    asks = _by_chunk(chunks, words).mapInArrow(_ask_pairs(bits, classes), ASK)
-    pairs = _answered(asks, n_parts)
-    return _by_chunk(chunks, words, pairs).mapInArrow(
+    asks = _with(flagged, words, "words").select("chunk", "sizes", "keys", "tokens", "target", "words").mapInArrow(_ask_pairs(bits, classes), ASK)
+    answered = _with(_with(chunks, words, "words"), _answered(asks, n_parts), "pairs")
+    return answered.select("ids", "sizes", "keys", "tokens", "words", "pairs").mapInArrow(
         _score(classes, nb, nt, vocabulary + 1 + SHAPES), "id long, n_tokens long, target_loss double, background_loss double, score double")
