@@ -31,7 +31,7 @@ from . import textvec as tv
 from .common import staged, staging_path, text_of
 from .lm_score import ADD, EDGE, MIN_COUNT, SHAPES, WEIGHT, _pair_key, word_keys
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 5 << 20
 PART_KEYS = 2_000_000
 
 ASK = "part int, chunk long, keys binary, b binary, t binary"
