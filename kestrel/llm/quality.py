@@ -192,10 +192,17 @@ def _feature_rows(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rows, got.column("fold").to_numpy().astype(np.int64)
 
 
-def _some(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """Rows of at most ``n`` (id, text) pairs, those with the smallest hashes: the same on every run."""
+def _some(rows: DataFrame, n: int, seed: int, among: DataFrame | None = None) -> DataFrame:
+    """Rows of at most ``n`` (id, text) pairs, those with the smallest hashes: the same on every run.
+
+    ``among`` limits the choice to its ids. Only ids and hashes are shuffled;
+    the texts of the chosen rows meet a broadcast of ``n`` hashes.
+    """
     keyed = rows.withColumn("key", F.xxhash64(F.lit(seed), "id", "text"))
-    return keyed.join(F.broadcast(keyed.select("key").distinct().orderBy("key").limit(n)), "key", "left_semi")
+    keys = keyed.select("id", "key")
+    if among is not None:
+        keys = keys.join(among, "id", "left_semi")
+    return keyed.join(F.broadcast(keys.select("key").distinct().orderBy("key").limit(n)), "key", "left_semi")
 
 
 def _scores_above(texts: DataFrame, models: list[tuple[np.ndarray, float]], cuts: np.ndarray) -> tuple[np.ndarray, int]:
@@ -233,7 +240,7 @@ def train(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_co
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     src = src.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
     ids = positives.select(F.col(positives.columns[0]).cast("long").alias("id")).where(F.col("id").isNotNull())
-    good, good_fold = _feature_rows(_some(src.join(ids, "id", "left_semi"), train_rows, 1))
+    good, good_fold = _feature_rows(_some(src, train_rows, 1, ids))
     other, other_fold = _feature_rows(_some(src, train_rows, 2))
     if not len(good) or not len(other):
         return fit_pu(good, other)
