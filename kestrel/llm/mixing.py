@@ -22,6 +22,7 @@ SHARD_LEVELS = 4           # 2**4 output shards
 SEED = "mix-1"
 KEY_BITS = 60
 MAX_BROADCAST_SOURCES = 10_000
+EQUAL_ROWS = 1_000         # equal rows numbered by one task at a time
 
 
 def words(text_col: str) -> Column:
@@ -125,19 +126,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         max_epochs: int = MAX_EPOCHS, block_docs: int = BLOCK_DOCS, levels: int = SHARD_LEVELS, seed: str = SEED) -> DataFrame:
     """What the mix takes of every row.
 
-    ``id, source, key, size, source_size, target, taken, block, shards``.
+    ``id, source, tie, key, size, source_size, target, taken, block, shards``.
     ``key`` orders a source's documents at random; ``taken`` counts words,
     repeats included; ``shards`` has the output shard of each copy, one per
     pass that takes words of the row. The last pass stops at the word where the
     source's target (rounded) is met, so its last document may be cut there and
-    sources meet their targets exactly.
+    sources meet their targets exactly. ``tie`` is the digest of the text.
+
+    The key is drawn from the id, the digest and the number of the row among its
+    equals, so neither an id nor a text on many rows fills a block.
 
     Null and empty texts have no words and are never taken. A null source is a
-    source of its own. Rows equal in id tie and are ordered by size; equal rows
-    are interchangeable. An empty table gives an empty result.
+    source of its own. Rows equal in id, source and text are interchangeable:
+    they are counted before the shuffle and numbered again in pieces of
+    ``EQUAL_ROWS``. An empty table gives an empty result.
     """
-    key = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "/"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, KEY_BITS // 4), 16, 10).cast("long")
-    rows = staged(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), key.alias("key"), words(text_col).alias("size")), "sizes")
+    each = ["id", "source", "tie", "size"]
+    equal = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), F.md5(text_of(text_col)).alias("tie"),
+                        words(text_col).alias("size")).groupBy(*each).agg(F.count(F.lit(1)).alias("c"))
+    pieces = equal.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(c - 1) div {EQUAL_ROWS}")))).repartition("tie", "piece")
+    numbered = pieces.withColumn("nth", F.explode(F.sequence(F.col("piece") * EQUAL_ROWS + 1, F.least(F.col("c"), (F.col("piece") + 1) * EQUAL_ROWS))))
+    name = F.concat(F.lit(seed + "/"), F.col("tie"), F.lit("/"), F.col("nth").cast("string"), F.lit("/"), F.coalesce(F.col("id").cast("string"), F.lit("")))
+    key = F.conv(F.substring(F.md5(name), 1, KEY_BITS // 4), 16, 10).cast("long")
+    rows = staged(numbered.select(*each, key.alias("key")), "sizes")
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("source_size"))
     targets = staged(source_targets(sizes, weights, max_epochs)
                      .withColumn("blocks", F.ceil(F.col("rows") / block_docs).cast("long"))
@@ -157,8 +168,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sums = placed.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
     order = Window.partitionBy("source").orderBy("block")  # one row per block of `block_docs` documents
     sums = sums.withColumn("block_start", F.sum("block_size").over(order) - F.col("block_size"))
-    # draws: every block once per pass, those of the last pass up to the one that holds its end
-    last = with_source(sums, targets.select("source", "rest")).where("block_start < rest").groupBy("source").agg(F.count(F.lit(1)).alias("more"))
+    # draws: every block (empty ones too) once per pass, those of the last pass up to the one that holds its end
+    last = with_source(sums, targets.select("source", "rest")).where("block_start < rest").groupBy("source").agg((F.max("block") + 1).alias("more"))
     t2, l2 = targets.select("source", "blocks", "passes"), last.withColumnRenamed("source", "_s")
     quotas = t2.join(l2, t2["source"].eqNullSafe(l2["_s"]), "left").select(
         "source", (F.col("blocks") * F.col("passes") + F.coalesce("more", F.lit(0))).alias("draws"))
@@ -168,7 +179,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .agg(F.sort_array(F.collect_list("end")).alias("ends")))  # one number per shard
     s2 = sums.withColumnRenamed("source", "_s").withColumnRenamed("block", "_b").drop("block_size")
     full = placed.join(s2, placed["source"].eqNullSafe(s2["_s"]) & (placed["block"] == s2["_b"])).drop("_s", "_b")
-    inside = Window.partitionBy("source", "block").orderBy("key", "id", "size")  # one block
+    inside = Window.partitionBy("source", "block").orderBy("key", "id", "tie")  # one block
     full = full.withColumn("before", F.col("block_start") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
     full = full.withColumn("part", part).withColumn("taken", F.col("passes") * F.col("size") + F.col("part"))
@@ -176,7 +187,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     full = with_source(full.withColumn("copies", copies), ends)
     shard = lambda e: F.size(F.filter("ends", lambda x: x <= e * F.col("blocks") + F.col("block")))
     where = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1), shard)).otherwise(F.array().cast("array<int>"))
-    return full.select("id", "source", "key", "size", "source_size", "target", "taken", "block", where.alias("shards"))
+    return full.select("id", "source", "tie", "key", "size", "source_size", "target", "taken", "block", where.alias("shards"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -185,19 +196,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Within a shard the rows are in random order by ``position_key`` (the local
     shuffle; write with ``partitionBy('shard')`` and sort by it). ``take_words``
     is below the row's words only for the document where a source's target ends.
-    Rows equal in id and size are matched to their takes one by one. Where ``docs`` has a
+    Rows equal in id, source and text are matched to their takes one by one. Where ``docs`` has a
     column of one of these names, the added one gets ``_`` at its end. Rows of null or empty text aren't taken; an empty table gives none.
     """
     takes = mix(docs, id_col, text_col, source_col, **options)
-    inner = ("_id", "_size", "_source", "_n", "_tid", "_tsize", "_tsource", "_tn", "_taken", "_key", "_shards", "_copy", "shard", "position_key", "take_words")
+    inner = ("_id", "_size", "_source", "_n", "_tie", "_tid", "_ttie", "_tsource", "_tn", "_taken", "_key", "_shards", "_copy", "shard", "position_key", "take_words")
     c = {x: fresh(docs, x) for x in inner}
     nth = lambda cols, order: F.row_number().over(Window.partitionBy(*cols).orderBy(order))
-    t = takes.where(F.size("shards") > 0).select(F.col("id").alias(c["_tid"]), F.col("size").alias(c["_tsize"]), F.col("source").alias(c["_tsource"]),
+    t = takes.where(F.size("shards") > 0).select(F.col("id").alias(c["_tid"]), F.col("tie").alias(c["_ttie"]), F.col("source").alias(c["_tsource"]),
                                                  F.col("key").alias(c["_key"]), F.col("shards").alias(c["_shards"]), F.col("taken").alias(c["_taken"]))
-    t = t.withColumn(c["_tn"], nth([c["_tid"], c["_tsize"], c["_tsource"]], F.desc(c["_taken"])))
-    d = docs.withColumns({c["_id"]: F.col(id_col).cast("long"), c["_size"]: words(text_col), c["_source"]: F.col(source_col)})
-    d = d.withColumn(c["_n"], nth([c["_id"], c["_size"], c["_source"]], F.col(c["_id"])))
-    cond = (d[c["_id"]].eqNullSafe(t[c["_tid"]]) & (d[c["_size"]] == t[c["_tsize"]]) & d[c["_source"]].eqNullSafe(t[c["_tsource"]])
+    t = t.withColumn(c["_tn"], nth([c["_tid"], c["_ttie"], c["_tsource"]], F.desc(c["_taken"])))
+    d = docs.withColumns({c["_id"]: F.col(id_col).cast("long"), c["_size"]: words(text_col), c["_tie"]: F.md5(text_of(text_col)), c["_source"]: F.col(source_col)})
+    d = d.withColumn(c["_n"], nth([c["_id"], c["_tie"], c["_source"]], F.col(c["_id"])))
+    cond = (d[c["_id"]].eqNullSafe(t[c["_tid"]]) & (d[c["_tie"]] == t[c["_ttie"]]) & d[c["_source"]].eqNullSafe(t[c["_tsource"]])
             & (d[c["_n"]] == t[c["_tn"]]))
     j = d.join(t, cond).select(*docs.columns, c["_size"], c["_taken"], c["_key"], F.posexplode(c["_shards"]).alias(c["_copy"], c["shard"]))
     take = F.least(F.col(c["_size"]), F.col(c["_taken"]) - F.col(c["_copy"]) * F.col(c["_size"]))

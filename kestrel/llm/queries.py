@@ -42,10 +42,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MIX_SQL = r"""
-WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         CAST('0x' || substr(md5('mix-1/' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS k
+WITH e AS (
+  SELECT doc_id, source, md5(coalesce(text, '')) AS tie, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) AS nth
   FROM documents),
+d AS (
+  SELECT doc_id, source, tie, size,
+         CAST('0x' || substr(md5('mix-1/' || tie || '/' || nth || '/' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS k
+  FROM e),
 s AS (
   SELECT source, sum(size) AS z, [5, 2, 1][1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3] AS w
   FROM d GROUP BY source),
@@ -63,7 +67,7 @@ p AS (
   SELECT *, CASE WHEN z > 0 THEN CAST(floor(target / z) AS BIGINT) ELSE 0 END AS passes FROM t),
 f AS (
   SELECT d.doc_id, d.size, p.z, p.target, p.passes, greatest(0, CAST(round(target) AS BIGINT) - passes * z) AS rest,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS before
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.tie ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS before
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(z AS BIGINT) AS source_size, target,
        CAST(passes * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
