@@ -144,7 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     each = ["id", "source", "tie", "size"]
     equal = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"), F.md5(text_of(text_col)).alias("tie"),
                         words(text_col).alias("size")).groupBy(*each).agg(F.count(F.lit(1)).alias("c"))
-    pieces = equal.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(c - 1) div {EQUAL_ROWS}")))).repartition("tie", "piece")
+    pieces = equal.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(c - 1) div {EQUAL_ROWS}")))).repartition("id", "tie", "piece")
     numbered = pieces.withColumn("nth", F.explode(F.sequence(F.col("piece") * EQUAL_ROWS + 1, F.least(F.col("c"), (F.col("piece") + 1) * EQUAL_ROWS))))
     name = F.concat(F.lit(seed + "/"), F.col("tie"), F.lit("/"), F.col("nth").cast("string"), F.lit("/"), F.coalesce(F.col("id").cast("string"), F.lit("")))
     key = F.conv(F.substring(F.md5(name), 1, KEY_BITS // 4), 16, 10).cast("long")
