@@ -12,7 +12,12 @@ from kestrel.sources.tables import read_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts (6)."""
+    """Documents that the classifier accepts (6).
+
+    Null and empty texts get an empty text's score; repeated rows share their
+    fate; null ids are judged like others but are never positives; without
+    positives all go; an empty table stays empty.
+    """
     return quality.keep_quality(docs, trusted_positives(spark, sf_dir))
 
 
@@ -20,7 +25,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near duplicates (5): the one with the smallest id.
 
     Null ids come last; among texts of one id the smallest digest decides, and
-    of rows equal in id and text one stays.
+    of rows equal in id and text one stays. Null texts count as empty ones. An
+    empty table stays empty.
     """
     c = [fresh(docs, n) for n in ("_d1", "_d2", "_id", "_n")]
     d1, d2, key, n = c
@@ -36,7 +42,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier document holds (4); ``n_chars`` follows the text."""
+    """Documents without the passages that an earlier document holds (4); ``n_chars`` follows the text.
+
+    No row is dropped: null texts stay null, a text that an earlier row repeats
+    in full may become short or empty, of equal rows one counts as the earlier.
+    An empty table stays empty.
+    """
     out = substring.dedup_substrings(docs)
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -45,7 +56,11 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item (3)."""
+    """Documents that hold no benchmark item (3).
+
+    Null and empty texts hold none and stay; every copy of a leaking row goes;
+    an empty table stays empty, an empty benchmark drops nothing.
+    """
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
@@ -75,7 +90,7 @@ STAGES = [
     ("mixing sources", mixing_stage),
 ]
 
-# the learned and hashed stages have no SQL form; of the stages only the mixing one has a test, the others' operators are tested in tests/llm
+# the learned and hashed stages have no SQL form; tests/llm/test_pipeline_stages.py and test_mixing_stage.py hold each stage against brute force
 ORACLE_SQL = None
 
 
