@@ -32,7 +32,7 @@ BLANKS = re.compile("[\\t-\\r \\x85\\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u2
 
 
 @cache
-def _encoding(path: str):
+def _encodings(path: str):
     """The tokenizer, and the same one without its pattern: the whole input is one piece."""
     import tiktoken
 
@@ -42,13 +42,18 @@ def _encoding(path: str):
     return tuple(tiktoken.Encoding(name, pat_str=p, mergeable_ranks=ranks, special_tokens={}) for name, p in (("own", pattern), ("piece", r"[\s\S]+")))
 
 
+def _encoding(path: str):
+    """The tokenizer itself."""
+    return _encodings(path)[0]
+
+
 def encode(text: str, path: str = TOKENIZER) -> list[int]:
     """The text's tokens, also where it holds runs of white space of any length.
 
     The pattern takes such a run as one piece, less its last character if
     a word follows; nothing else reaches into it, so the parts are encoded on their own.
     """
-    enc, piece = _encoding(path)
+    enc, piece = _encodings(path)
     out, at = [], 0
     for m in BLANKS.finditer(text):
         end = m.end() if m.end() == len(text) else m.end() - 1

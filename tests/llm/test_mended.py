@@ -17,7 +17,7 @@ PYTHON = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroups", "MapInPandas",
 
 
 def test_long_runs_of_one_class():
-    enc, piece = token_counts._encoding(token_counts.TOKENIZER)
+    enc, piece = token_counts._encodings(token_counts.TOKENIZER)
     rng = random.Random(5)
     for _ in range(30):     # short enough for the pattern itself, long enough to be cut out
         text = "".join(rng.choice(["word ", "x", " é,", "7\n", "  ", "\t" * rng.randint(1000, 3000), " " * rng.randint(990, 2500), "　" * 1200, "\n \t" * 500])
